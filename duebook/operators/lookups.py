@@ -9,18 +9,15 @@ shuffle otherwise.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .skew import Hot
 
-SPREAD = 4096           # buckets for rows that match nothing
-
-
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+SPREAD = 4096   # buckets for rows that match nothing
+HASHED = 8      # columns whose hash tells such rows apart
 
 
 def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -34,46 +31,71 @@ def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFra
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], *,
-                within: Column | None = None, hot: Hot | None = None,
+                within: str | None = None, hot: Hot | None = None,
                 spread: bool = True) -> DataFrame:
     """Left join with a table that holds at most one match per left row.
 
-    ``on`` are columns of both sides.  ``within`` is a further condition, such as a range;
-    it may name left columns and the right ones that are not in ``on``.
+    ``on`` are columns of both sides.  ``within`` is a further condition, such as a range,
+    as SQL text; it may name left columns and the right ones that are not in ``on``.
 
     Rows whose key is in ``hot`` look their match up in a broadcast copy of just those keys'
     rows (at most one per hot key, or one per hot key and date under ``within``) and take no
     part in the shuffle.  ``spread=False`` says that no left key is null.
     """
-    on, columns = list(on), left.columns
-    payload = [c for c in right.columns if c not in on]
-    right = right.select(*[F.col(c).alias(f"__r_{c}") for c in on], *payload)
-    match = _all([F.col(c) == F.col(f"__r_{c}") for c in on])
-    if within is not None:
-        match = match & within
-
-    usable = _all([F.col(c).isNotNull() for c in on])
+    on, payload = list(on), [c for c in right.columns if c not in on]
+    usable = " and ".join(f"`{c}` is not null" for c in on)
     if hot:
-        is_hot = F.xxhash64(*on).isin(list(hot.counts))
-        few = right.where(F.xxhash64(*[f"__r_{c}" for c in on]).isin(list(hot.counts)))
-        left = (left.join(F.broadcast(few), match, "left")
-                .select(*columns, F.struct(*payload).alias("__few"))
-                .withColumn("__hot", usable & is_hot))
-        usable = usable & ~F.col("__hot")
+        left = _with_hot_matches(left, right, on, payload, within, hot)
+        usable = f"{usable} and not __hot"
     if hot or spread:
         # A row without a partner goes to a bucket taken from its own hash: equal null keys
         # would all meet in one task.  The task number keeps copies of a row apart.  The
         # right side is all bucket 0, in a form that constant folding does not turn into a
         # condition on the left side alone.
-        own = F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(SPREAD)) + 1
-        left = left.withColumn("__bucket", F.when(usable, F.lit(0)).otherwise(own))
-        right = right.withColumn("__zero", F.pmod(F.xxhash64(*[f"__r_{c}" for c in on]), F.lit(1)))
-        match = match & (F.col("__bucket") == F.col("__zero"))
-    joined = left.join(right, match, "left")
+        some = [c for c in left.columns if c not in on][:HASHED]
+        own = f"pmod(xxhash64(spark_partition_id(), {_names(some or on)}), {SPREAD}) + 1"
+        left = left.withColumn("__bucket", F.expr(f"case when {usable} then 0 else {own} end"))
+        right = right.withColumn("__bucket", F.expr(f"pmod(xxhash64({_names(on)}), 1)"))
+        on = [*on, "__bucket"]
+    if hot:
+        right = right.withColumnsRenamed({c: f"__cold_{c}" for c in payload})
+        within = within and _renamed(within, {c: f"__cold_{c}" for c in payload})
+    if within is None:
+        joined = left.join(right, on, "left")
+    else:
+        right = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+        match = " and ".join(f"`{c}` = `__r_{c}`" for c in on)
+        joined = left.join(right, F.expr(f"{match} and ({within})"), "left").drop(
+            *[f"__r_{c}" for c in on])
     if hot:
-        payload = [F.when(F.col("__hot"), F.col("__few")[c]).otherwise(F.col(c)).alias(c)
-                   for c in payload]
-    return joined.select(*columns, *payload)
+        joined = joined.withColumns({
+            c: F.expr(f"case when __hot then __few.`{c}` else `__cold_{c}` end")
+            for c in payload}).drop("__hot", "__few", *[f"__cold_{c}" for c in payload])
+    return joined.drop("__bucket")
+
+
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _renamed(condition: str, names: dict[str, str]) -> str:
+    return re.sub(r"\w+", lambda word: names.get(word.group(), word.group()), condition)
+
+
+def _with_hot_matches(left: DataFrame, right: DataFrame, on: list[str], payload: list[str],
+                      within: str | None, hot: Hot) -> DataFrame:
+    """Mark the rows of hot keys and join them to those keys' rows, as one struct."""
+    listed = ", ".join(map(str, hot.counts))
+    is_hot = f"xxhash64({_names(on)}) in ({listed})"
+    few = right.where(is_hot).withColumnsRenamed({c: f"__f_{c}" for c in right.columns})
+    match = " and ".join(f"`{c}` = `__f_{c}`" for c in on)
+    if within is not None:
+        match += f" and ({_renamed(within, {c: f'__f_{c}' for c in payload})})"
+    struct = "named_struct(" + ", ".join(f"'{c}', `__f_{c}`" for c in payload) + ")"
+    present = " and ".join(f"`{c}` is not null" for c in on)
+    return (left.join(F.broadcast(few), F.expr(match), "left")
+            .withColumns({"__few": F.expr(struct), "__hot": F.expr(f"{present} and {is_hot}")})
+            .drop(*[f"__f_{c}" for c in right.columns]))
 
 
 def intervals(df: DataFrame, keys: Sequence[str], start: str, until: str) -> DataFrame:
@@ -92,8 +114,7 @@ def as_of_join(left: DataFrame, changes: DataFrame, on: Sequence[str], at: str,
                hot: Hot | None = None) -> DataFrame:
     """Latest change of the key at or before ``at``; one output row per left row."""
     spans = intervals(changes, on, start, "__until")
-    within = (F.col(start) <= F.col(at)) & (F.col("__until").isNull()
-                                            | (F.col(at) < F.col("__until")))
+    within = f"{start} <= {at} and (__until is null or {at} < __until)"
     return lookup_join(left, spans, on, within=within, hot=hot).drop("__until")
 
 

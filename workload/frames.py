@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from duebook.session import shared_folder
 
 AS_OF = dt.date(2001, 6, 30)
 
@@ -327,8 +331,23 @@ def _text(name: str) -> str:
     return FRAMES[name].replace("{as_of}", f"date '{AS_OF}'")
 
 
+_STORED: dict[tuple[str, str], dict[str, tuple[str, StructType]]] = {}
+
+# Tables that a join or a grouping stands behind; the others are projections of these.
+STORED = """
+    ledger payment_terms companies currency_decimals dated_rates budget_rates
+    profit_center_fence products ruled customers_current profit_centers business_units
+    company_dim security_tags
+""".split()
+
+
 class Frames:
-    """The tables of one data folder as lazy DataFrames; items build what they need."""
+    """The tables of one data folder as lazy DataFrames; items build what they need.
+
+    Where the library is used, a ledger or a customer dimension is a table of its own and
+    not a query.  ``tables`` gives them as such: derived once per session, written to the
+    shared folder and read back from there.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self._built = spark, folder, {}
@@ -347,8 +366,26 @@ class Frames:
         return self.spark.sql(sql.replace('"', "`"), **parts)
 
     def tables(self, names: list[str]) -> dict[str, DataFrame]:
+        wanted = [n for name in names for n in needed(name) if n in STORED]
+        paths = _STORED.setdefault((self.spark.sparkContext.applicationId, self.folder), {})
+        while missing := [n for n in dict.fromkeys(wanted) if n not in paths]:
+            ready = [n for n in missing
+                     if all(p in paths for p in needed(n)[:-1] if p in STORED)]
+            for name in paths:
+                self._built[name] = self._read(*paths[name])
+            frames = {n: self[n] for n in ready}
+            root = shared_folder(self.spark)
+            with ThreadPoolExecutor(8) as pool:
+                list(pool.map(lambda n: frames[n].write.parquet(f"{root}/{n}"), ready))
+            paths.update({n: (f"{root}/{n}", frames[n].schema) for n in ready})
+            self._built.clear()
+        for name in paths:
+            self._built[name] = self._read(*paths[name])
         return {n: self[n] for n in names}
 
+    def _read(self, path: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(path)
+
 
 @cache
 def needed(name: str) -> tuple[str, ...]:
