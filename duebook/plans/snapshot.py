@@ -95,7 +95,7 @@ def daily_run(sku: DataFrame, names: SnapshotTables, as_of: dt.date, days: int =
     old = [d for d in present if d < bound]
     if old:
         leaving = stale(spark.table(names.hot), as_of, days)
-        tables.keyed_upsert(leaving, names.archive, SNAPSHOT_KEY, DAY, dates=old, cluster=LAYOUT)
+        tables.keyed_upsert(leaving, names.archive, SNAPSHOT_KEY, DAY, dates=old, cluster=None)
         tables.drop_partitions(spark, names.hot, DAY, old)
 
     replaced = [d for d in present if d >= as_of]
@@ -109,7 +109,8 @@ def daily_run(sku: DataFrame, names: SnapshotTables, as_of: dt.date, days: int =
     missing = [d for d in kept if d not in in_open or d == as_of]
     if missing:
         rows = open_only(spark.table(names.hot)).where(F.col(DAY).isin(missing))
-        tables.replace_partitions(tables.clustered(rows, DAY, *LAYOUT), names.open_only)
+        # read from files that are laid out already
+        tables.replace_partitions(rows, names.open_only)
 
     if check:
         checks = run_checks(spark.table(names.hot), sku, spark.table(names.open_only),

@@ -86,11 +86,14 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def keyed_upsert(source: DataFrame, table: str, keys: Sequence[str], partition: str,
-                 dates: Sequence[dt.date] | None = None, cluster: Sequence[str] = ()) -> None:
+                 dates: Sequence[dt.date] | None = None,
+                 cluster: Sequence[str] | None = ()) -> None:
     """Update the rows whose key matches, insert the others.
 
     ``partition`` is part of the key, so only the dates of the source are rewritten, and
     only those that exist already are read.  ``dates`` saves the pass that lists them.
+    ``cluster`` lays the rows out by partition and these columns; ``None`` keeps the layout
+    of the source where nothing has to be merged into it.
     """
     spark = source.sparkSession
     create(source, table, partition)
@@ -100,4 +103,6 @@ def keyed_upsert(source: DataFrame, table: str, keys: Sequence[str], partition:
     result = source
     if present:
         result = upserted(spark.table(table).where(F.col(partition).isin(present)), source, keys)
-    replace_partitions(clustered(result, partition, *cluster), table)
+    if present or cluster is not None:
+        result = clustered(result, partition, *(cluster or ()))
+    replace_partitions(result, table)
