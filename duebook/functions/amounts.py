@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 CREDIT = "H"
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def to_int(text: Column) -> Column:
-    """Integer, or null where the text is none (ANSI casts would fail the job)."""
-    return text.try_cast("int")
+    """Integer, or null where the text is none (ANSI casts would fail the job).
+
+    The pattern goes first, as ``try_cast`` alone catches an exception for each bad value.
+    """
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("int"))
 
 
 def zero_to_null(number: Column) -> Column:
