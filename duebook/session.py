@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,14 +25,9 @@ def build_session(app: str = "duebook", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a local session without that setting falls back to a temporary folder:
-    on a cluster the executors could not see it.
+    Both are folders every executor can reach; nothing is put on one machine's own disk.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/duebook/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

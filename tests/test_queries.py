@@ -8,8 +8,8 @@ import __spark_entry__ as contract
 from duebook.schemas import ARCHIVE_COLUMNS, INVOICE_COLUMNS, SKU_COLUMNS, SNAPSHOT_COLUMNS
 from tests.conftest import DATA
 from tests.helpers import connect, same_as_oracle
+from workload import ORACLES, QUERIES
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 HEADLINE = """
     customer_aging aging_live prorate material_enrich resolve_sold_to resolve_customer_key due_date
     functional_amount profit_center_override business_unit_final join_as_of join_lateral_top1
