@@ -18,6 +18,11 @@ MAX_REPEATED = 20         # percent of words in repeated windows
 SYMBOLS = "[#*$%&|<>]"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where lambdas refer to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def repeated_words(ws: Column) -> Column:
     """Words covered by windows of five that occur twice or more in the text.
 
@@ -25,25 +30,28 @@ def repeated_words(ws: Column) -> Column:
     nearly all, are told by a set of the hashes; the others are sorted once.
     """
     count = F.size(ws) - (WINDOW - 1)
-    hashes = F.when(count > 1, F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.xxhash64(*[F.get(ws, i + (n - 1)) for n in range(WINDOW)])))
-    found = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
-    def twin(x: Column, n: Column) -> Column:
-        def same(other):
-            return F.coalesce(F.get(found, other)["h"] == x["h"], F.lit(False))
-        return same(n - 1) | same(n + 1)
-
-    places = F.array_sort(F.transform(F.filter(found, twin), lambda x: x["i"]))
-    # a window adds the words that the one before it has not covered yet
-    covered = F.aggregate(
-        places, F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
-        lambda a, p: F.struct(
-            (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")),
-        lambda a: a["n"])
-    unique = F.size(F.array_distinct(hashes)) == F.size(hashes)
-    return F.when((count <= 1) | unique, 0).otherwise(covered).cast("long")
+    hashes = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1),
+                         lambda i: F.xxhash64(*[F.get(ws, i + n) for n in range(WINDOW)]))
+
+    def repeats(found: Column) -> Column:
+        def twin(x: Column, n: Column) -> Column:
+            def same(other):
+                return F.coalesce(F.get(found, other)["h"] == x["h"], F.lit(False))
+            return same(n - 1) | same(n + 1)
+        return F.array_sort(F.transform(F.filter(found, twin), lambda x: x["i"]))
+
+    def covered(hs: Column) -> Column:
+        found = F.array_sort(F.transform(hs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        # a window adds the words that the one before it has not covered yet
+        return F.aggregate(
+            _let(found, repeats), F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+            lambda a, p: F.struct(
+                (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")),
+            lambda a: a["n"])
+
+    some = _let(hashes, lambda hs: F.when(F.size(F.array_distinct(hs)) == F.size(hs), 0)
+                .otherwise(covered(hs)))
+    return F.when(count <= 1, 0).otherwise(some).cast("long")
 
 
 def line_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
