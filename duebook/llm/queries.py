@@ -10,6 +10,7 @@ import corpus_pipeline
 
 from .common import read
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
+from .minhash import near_groups
 from .url_filter import RULES, host_of, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +112,29 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
         on_list = on_list | (host == name) | host.endswith(f".{name}")
     listed = pages.where(on_list).select("url")
     return url_filter(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_minhash", sql=r"""
+    with recursive w as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') w from documents),
+    shingles as (
+        select distinct doc_id, array_to_string(w[i:i + 3], ' ') s
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from w
+              where len(w) > 0)),
+    sizes as (select doc_id, count(*) n from shingles group by 1),
+    shared as (
+        select x.doc_id x, y.doc_id y, count(*) c from shingles x join shingles y using (s)
+        where x.doc_id <> y.doc_id group by 1, 2),
+    links as (
+        select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+        where 100 * c >= 80 * (a.n + b.n - c)),
+    reach as (
+        select doc_id, doc_id r from documents
+        union select reach.doc_id, y from reach join links on r = x)
+    select doc_id, coalesce(n, 0) n_shingles, min(r) component_id, doc_id = min(r) kept
+    from reach left join sizes using (doc_id) group by doc_id, n""")
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_groups(read(spark, folder, "documents"), size=4)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
