@@ -47,21 +47,23 @@ def by_batch(df: DataFrame, columns: list[str], fields: list[T.StructField],
     time, so memory follows the longest rows and not the batch.
     """
     names = [f.name for f in fields]
-    source = df.select(*[F.col(f"`{c}`").alias(f"k{n}") for n, c in enumerate(keep)],
-                       *[F.col(f"`{c}`").alias(f"a{n}") for n, c in enumerate(columns)])
+    more = [c for c in columns if c not in keep]
+    source = df.select(*[F.col(f"`{c}`").alias(f"k{n}") for n, c in enumerate([*keep, *more])])
+    args = [[*keep, *more].index(c) for c in columns]
     schema = T.StructType([*source.schema.fields[:len(keep)], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                arrays = part.columns[len(keep):]
+                arrays = part.columns
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(keep)], *fn(*arrays)],
+                    [*arrays[:len(keep)], *fn(*[arrays[a] for a in args])],
                     [*part.schema.names[:len(keep)], *names])
 
     found = source.mapInArrow(run, schema)
-    return found.select(*[F.col(f"k{n}").alias(c) for n, c in enumerate(keep)], *names)
+    return found.select(*[F.col(f"k{n}").alias(c) for n, c in enumerate(keep)],
+                        *[F.col(n) for n in names])
 
 
 # --- hashing of words inside tasks -----------------------------------------------------------
