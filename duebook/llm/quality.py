@@ -17,7 +17,7 @@ from .common import WordHasher, by_batch, list_array, splitmix, staged, texts_of
 
 SAMPLE = 5_000           # texts the scorer is fitted to, the first by hash of their key
 DIMENSIONS = 2_048       # hashed features
-THRESHOLD = 0.5          # a text is kept from this score on
+THRESHOLD = 0.4          # a text is kept from this score on
 GOOD, BAD, NONE = 1, 0, 2
 
 _SYMBOLS = np.zeros(256, bool)
@@ -69,7 +69,8 @@ def votes(m: dict) -> list[int]:
         return [BAD] * LABELLERS
     same, seen = m["same"].mean(), m["seen"].mean()
     marked, pipes = (m["marked"] > 0).mean(), m["pipes"] / n
-    lines = m["repeated_lines"] / max(1, m["lines"])
+    # one line that comes twice says little
+    lines = m["repeated_lines"] / m["lines"] if m["repeated_lines"] > 1 else 0.0
 
     def side(value, bad_from, good_to):
         return BAD if value >= bad_from else GOOD if value <= good_to else NONE
@@ -77,10 +78,10 @@ def votes(m: dict) -> list[int]:
         side(same, 0.12, 0.03),                                  # a word right after itself
         side(seen - 0.12 * np.log10(max(n, 10)), 0.45, 0.3) if n >= 30 else NONE,  # poor vocabulary
         side(marked, 0.12, 0.04),                                # words with symbols
-        side(1 - m["letters"], 0.14, 0.08),                      # other than letters
+        side(1 - m["letters"], 0.2, 0.1),                      # other than letters
         side(pipes, 0.12, 0.02),                                 # table marks
-        side(lines, 0.15, 0.0) if m["lines"] >= 3 else NONE,     # lines that come again
-        side(lines + same + marked, 0.2, 0.06),                  # any of these together
+        side(lines, 0.3, 0.0) if m["lines"] >= 3 else NONE,      # lines that come again
+        side(lines + same + marked, 0.3, 0.1),                  # any of these together
     ]
 
 
@@ -205,7 +206,7 @@ def _scored(docs: DataFrame, key: str, text: str, keep: list[str], sample: int)
 
 def quality_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    sample: int = SAMPLE) -> DataFrame:
-    """``key``, score between 0 and 1, and kept: score at least 0.5; one row per row of ``docs``.
+    """``key``, score between 0 and 1, and kept: score at least 0.4; one row per row of ``docs``.
 
     Null, empty and blank texts score 0 and are rejected.  Whole texts are read, of any
     length.  Equal texts have equal scores; repeated and null keys are scored like others

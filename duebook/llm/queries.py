@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 
 from .common import read
+from .langid import language_scores
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
+from .packing import length_buckets
+from .quality import quality_scores
 from .url_filter import RULES, host_of, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +141,36 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = near_groups(read(spark, folder, "documents"), size=4)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(read(spark, folder, "documents"))
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents: the declared language and the source as host are the further evidence."""
+    return language_scores(read(spark, folder, "documents"))
+
+
+@query("language_of_pages")
+def language_of_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages: text without tags, the language the markup declares, host and address suffix."""
+    page, host = F.col("html"), host_of(F.col("url"))
+    body = F.regexp_replace(page, r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    pages = read(spark, folder, "pages").select(
+        "page_id", body.alias("text"), F.when(host != "", host).alias("host"),
+        F.regexp_extract(page, r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([a-z]{2})""", 1).alias("lang"),
+        F.when(host != "", F.substring_index(host, ".", -1)).alias("suffix"))
+    return language_scores(pages, key="page_id", declared="lang", host="host", suffix="suffix")
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return length_buckets(read(spark, folder, "documents"))
+
+
+@query("pipeline", sql=corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
