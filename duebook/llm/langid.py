@@ -149,7 +149,12 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", declared:
         size = number[0]
         for x in number[1:]:
             size = size + x
-        prior = [(x + STRENGTH * p) / (size + STRENGTH) for x, p in zip(number, prior)]
+        # columns of their own, so that each level is computed once
+        level = [f"{by}_p{n}" for n in range(len(languages))]
+        scored = scored.withColumn("__size", size).withColumns({
+            c: (x + STRENGTH * p) / (F.col("__size") + STRENGTH)
+            for c, x, p in zip(level, number, prior)}).drop(f"{by}_n", f"{by}_key")
+        prior = [F.col(c) for c in level]
     total = [t + F.log(p) for t, p in zip(total, prior)]
     if suffix:
         table = staged(counted("__suffix", narrow)).withColumnRenamed("__suffix", "__suffix_key")

@@ -14,6 +14,7 @@ from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
 from .packing import length_buckets
 from .quality import quality_scores
+from .toxicity import toxicity
 from .url_filter import RULES, host_of, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,8 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("pipeline", sql=corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
