@@ -14,6 +14,7 @@ from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
 from .packing import length_buckets
 from .quality import quality_scores
+from .sentencepieces import encode
 from .toxicity import toxicity
 from .url_filter import RULES, host_of, url_filter
 
@@ -180,3 +181,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op8_pieces")
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(read(spark, folder, "documents"))
