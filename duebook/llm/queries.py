@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
+from .blocks import main_text
 from .common import read
 from .langid import language_scores
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
@@ -186,3 +187,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_pieces")
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode(read(spark, folder, "documents"))
+
+
+@query("op7_main_text")
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    return main_text(pages, keep=("url",)).withColumn(
+        "n_chars", F.length("text").cast("long")).drop("n_blocks")
