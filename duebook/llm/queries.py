@@ -11,6 +11,7 @@ import corpus_pipeline
 from .blocks import main_text
 from .common import read
 from .langid import language_scores
+from .lattice import embedding_links
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
 from .packing import length_buckets
@@ -194,3 +195,22 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url", "html")
     return main_text(pages, keep=("url",)).withColumn(
         "n_chars", F.length("text").cast("long")).drop("n_blocks")
+
+
+@query("op1_lattice", sql="""
+    with recursive unit as (
+        select vec_id, v, sqrt(list_dot_product(v, v)) size
+        from (select vec_id, embedding::double[] v from embeddings)
+        where len(v) > 0 and len([x for x in v if x is null or not isfinite(x)]) = 0),
+    links as (
+        select a.vec_id x, b.vec_id y from unit a join unit b
+        on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and a.size > 0 and b.size > 0
+           and list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+    counts as (select x vec_id, count(*) n from links group by 1),
+    reach as (
+        select vec_id, vec_id r from embeddings
+        union select reach.vec_id, y from reach join links on r = x)
+    select vec_id, coalesce(n, 0) n_links, min(r) component_id, vec_id = min(r) kept
+    from reach left join counts using (vec_id) group by vec_id, n""")
+def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links(read(spark, folder, "embeddings"))
