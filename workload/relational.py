@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -493,8 +492,9 @@ def join_scalar_compare(f: Frames) -> DataFrame:
     both = ledger_items(f["open_items"], f["cleared_items"])
 
     def side(status: str):
-        mine = F.when(col("item_status") == status, col("wrbtr"))
-        return (F.count(mine).alias(f"{status.lower()}_rows"),
+        is_mine = col("item_status") == status
+        mine = F.when(is_mine, col("wrbtr"))
+        return (F.count_if(is_mine).alias(f"{status.lower()}_rows"),
                 F.coalesce(F.sum(mine), lit(0)).alias(f"{status.lower()}_sum"))
     return both.agg(*side("OPEN"), *side("CLEARED"))
 
@@ -690,8 +690,9 @@ def union_status(f: Frames) -> DataFrame:
     union all select 'future', count(*) from snapshot where snapshot_date > {DAY} having count(*) > 0
     union all select 'today', count(*) from snapshot where snapshot_date = {DAY} having count(*) > 0""")
 def union_checks(f: Frames) -> DataFrame:
+    """One counter per rule in a single pass; rules that nothing breaks give no row."""
     day = col("snapshot_date")
     rules = {"old": day < F.date_sub(lit(AS_OF), 60), "future": day > lit(AS_OF), "today": day == lit(AS_OF)}
-    found = [f["snapshot"].where(rule).agg(F.count("*").alias("n")).where("n > 0")
-             .select(lit(name).alias("check_id"), "n") for name, rule in rules.items()]
-    return reduce(DataFrame.unionByName, found)
+    counted = f["snapshot"].agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    pairs = ", ".join(f"'{name}', {name}" for name in rules)
+    return counted.selectExpr(f"stack({len(rules)}, {pairs}) as (check_id, n)").where("n > 0")
