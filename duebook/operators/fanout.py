@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .skew import HOT_ROWS, Hot
+from .skew import HOT_ROWS, Hot, key_hash, require_comparable
 
 CELLS = 4096   # parts a whole table would be cut into
 
@@ -30,13 +30,13 @@ def hot_grid(df: DataFrame, left: Hot, right: Hot, least: int = HOT_ROWS) -> Dat
 
 
 def _with_parts(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFrame:
-    joined = df.join(F.broadcast(grid), F.xxhash64(*keys) == F.col("__hot"), "left").drop("__hot")
+    joined = df.join(F.broadcast(grid), key_hash(df, keys) == F.col("__hot"), "left").drop("__hot")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(1)) for c in ("__lp", "__rp")})
 
 
 def _place(df: DataFrame, keys: Sequence[str], grid: DataFrame, own: str, other: str) -> DataFrame:
     """Put each row in one part of its own side and copy it to every part of the other."""
-    spot = F.xxhash64(F.spark_partition_id(), *df.columns)
+    spot = F.xxhash64(*[f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")])
     every = F.sequence(F.lit(0), F.col(f"__{other}p") - 1)
     return (_with_parts(df, keys, grid)
             .withColumn(f"__{own}", F.pmod(spot, F.col(f"__{own}p")).cast("int"))
@@ -68,6 +68,8 @@ def fan_out(left: DataFrame, right: DataFrame, keys: Sequence[str], grid: DataFr
     left = left.where(has_key)
     cells, tables, how = keys, [left, right, *per_key], "left" if keep_unmatched else "inner"
     if grid is not None:
+        for side in (right, *per_key):
+            require_comparable(left, side, keys)
         cells, how = [*keys, "__l", "__r"], "inner"
         if keep_unmatched:
             # a left row has a copy per right part, so only the row as a whole is unmatched

@@ -14,10 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .skew import Hot
+from .skew import Hot, key_hash, require_comparable
 
-SPREAD = 4096   # buckets for rows that match nothing
-HASHED = 8      # columns whose hash tells such rows apart
+SPREAD = 1 << 20   # buckets for rows that match nothing
 
 
 def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -32,15 +31,19 @@ def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFra
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], *,
                 within: str | None = None, hot: Hot | None = None,
-                spread: bool = True) -> DataFrame:
+                spread: bool = True, ids: Sequence[str] | None = None) -> DataFrame:
     """Left join with a table that holds at most one match per left row.
 
+    The caller sees to that (``top1``, ``group_totals``): a repeated right key repeats left
+    rows, as in any join; for a hot key it is an error.
+
     ``on`` are columns of both sides.  ``within`` is a further condition, such as a range,
     as SQL text; it may name left columns and the right ones that are not in ``on``.
 
     Rows whose key is in ``hot`` look their match up in a broadcast copy of just those keys'
     rows (at most one per hot key, or one per hot key and date under ``within``) and take no
-    part in the shuffle.  ``spread=False`` says that no left key is null.
+    part in the shuffle.  ``spread=False`` says that no left key is null.  ``ids`` are left
+    columns that tell rows apart, by default all; rows without a partner are dealt by them.
     """
     on, payload = list(on), [c for c in right.columns if c not in on]
     usable = " and ".join(f"`{c}` is not null" for c in on)
@@ -49,11 +52,13 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], *,
         usable = f"{usable} and not __hot"
     if hot or spread:
         # A row without a partner goes to a bucket taken from its own hash: equal null keys
-        # would all meet in one task.  The task number keeps copies of a row apart.  The
-        # right side is all bucket 0, in a form that constant folding does not turn into a
-        # condition on the left side alone.
-        some = [c for c in left.columns if c not in on][:HASHED]
-        own = f"pmod(xxhash64(spark_partition_id(), {_names(some or on)}), {SPREAD}) + 1"
+        # would all meet in one task.  The bucket follows from the row alone, so filters still
+        # reach the scan and a repeated task deals its rows alike.  The right side is all
+        # bucket 0, in a form that constant folding does not turn into a condition on the
+        # left side alone.
+        some = ids or [f.name for f in left.schema if f.name not in on and f.name != "__few"
+                       and f.dataType.typeName() not in ("map", "variant")]
+        own = f"pmod(xxhash64({_names(some or on)}), {SPREAD}) + 1"
         left = left.withColumn("__bucket", F.expr(f"case when {usable} then 0 else {own} end"))
         right = right.withColumn("__bucket", F.expr(f"pmod(xxhash64({_names(on)}), 1)"))
         on = [*on, "__bucket"]
@@ -84,18 +89,28 @@ def _renamed(condition: str, names: dict[str, str]) -> str:
 
 def _with_hot_matches(left: DataFrame, right: DataFrame, on: list[str], payload: list[str],
                       within: str | None, hot: Hot) -> DataFrame:
-    """Mark the rows of hot keys and join them to those keys' rows, as one struct."""
-    listed = ", ".join(map(str, hot.counts))
-    is_hot = f"xxhash64({_names(on)}) in ({listed})"
-    few = right.where(is_hot).withColumnsRenamed({c: f"__f_{c}" for c in right.columns})
+    """Mark the rows of hot keys and join them to those keys' rows, as one struct.
+
+    Without ``within`` the broadcast holds one row per hot key, which is checked; with it,
+    one per hot key and date.
+    """
+    require_comparable(left, right, on)
+    listed = [F.lit(n) for n in hot.counts]
+    few = right.where(key_hash(right, on).isin(*listed))
+    if within is None:
+        few = few.groupBy(*on).agg(F.count("*").alias("__times"),
+                                   *[F.any_value(c).alias(c) for c in payload])
+        few = few.where(F.expr("if(__times > 1, raise_error('a hot key has several rows in a lookup'), true)")
+                        ).drop("__times")
+    few = few.withColumnsRenamed({c: f"__f_{c}" for c in right.columns})
     match = " and ".join(f"`{c}` = `__f_{c}`" for c in on)
     if within is not None:
         match += f" and ({_renamed(within, {c: f'__f_{c}' for c in payload})})"
     struct = "named_struct(" + ", ".join(f"'{c}', `__f_{c}`" for c in payload) + ")"
-    present = " and ".join(f"`{c}` is not null" for c in on)
-    return (left.join(F.broadcast(few), F.expr(match), "left")
-            .withColumns({"__few": F.expr(struct), "__hot": F.expr(f"{present} and {is_hot}")})
-            .drop(*[f"__f_{c}" for c in right.columns]))
+    present = F.expr(" and ".join(f"`{c}` is not null" for c in on))
+    is_hot = present & key_hash(left, on).isin(*listed)
+    return (left.withColumn("__hot", is_hot).join(F.broadcast(few), F.expr(match), "left")
+            .withColumn("__few", F.expr(struct)).drop(*[f"__f_{c}" for c in right.columns]))
 
 
 def intervals(df: DataFrame, keys: Sequence[str], start: str, until: str) -> DataFrame:

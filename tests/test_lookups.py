@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from duebook.operators.fanout import fan_out, hot_grid
 from duebook.operators.lookups import as_of_join, lookup_join, tiered_lookup, top1, valid_on
-from duebook.operators.skew import Hot, hot_keys
+from duebook.operators.skew import Hot, hot_keys, key_hash
 from tests.helpers import day, rows
 
 
@@ -34,7 +34,8 @@ def threshold(spark, request):
 
 def test_hot_keys_finds_the_heavy_key_only(spark, skewed):
     hot = hot_keys(skewed, {"k": ["k"]}, hot_rows=100)["k"]
-    heavy = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]
+    seven = spark.range(1).selectExpr("7 k")
+    heavy = seven.select(key_hash(seven, ["k"])).first()[0]
     assert hot.rows == 900 and list(hot.counts) == [heavy]
     assert not hot_keys(skewed, {"k": ["k"]})["k"]
 
@@ -123,3 +124,56 @@ def test_fan_out_equals_join(spark, skewed, threshold, keep, split):
     want = skewed.join(lines, "k", how).join(totals, "k", "left")
     columns = ["id", "k", "n", "total"]
     assert rows(found.select(columns)) == rows(want.select(columns))
+
+
+MIXED = [("int", "bigint"), ("decimal(18,2)", "decimal(20,2)"), ("decimal(10,0)", "decimal(10,2)"),
+         ("int", "decimal(12,2)"), ("date", "timestamp"), ("float", "double")]
+
+
+def _keys(df, kind):
+    day = F.expr("date_add(date'2001-01-01', cast(k as int))")
+    return df.withColumn("k", (day if kind in ("date", "timestamp") else F.col("k")).cast(kind))
+
+
+@pytest.mark.parametrize("ours, theirs", MIXED)
+@pytest.mark.parametrize("split", [False, True])
+def test_keys_of_different_types(spark, threshold, ours, theirs, split):
+    left = _keys(spark.range(1000).selectExpr("id", "if(id % 3 = 0, 7, id % 50) k"), ours)
+    right = _keys(spark.range(50).selectExpr("id k", "id v"), theirs)
+    hot = hot_keys(left, {"k": ["k"]}, hot_rows=100)["k"] if split else None
+    found = lookup_join(left, right, ["k"], hot=hot)
+    want = left.join(right.withColumnRenamed("k", "r"), F.col("k") == F.col("r"), "left").drop("r")
+    assert rows(found.select("id", "v")) == rows(want.select("id", "v"))
+    lines = _keys(spark.range(300).selectExpr("if(id % 2 = 0, 7, id % 50) k", "id n"), theirs)
+    grid = None
+    if split:
+        sides = [hot_keys(df, {"k": ["k"]}, hot_rows=100)["k"] for df in (left, lines)]
+        grid = hot_grid(left, *sides, least=50)
+        assert grid is not None
+    pairs = fan_out(left, lines, ["k"], grid)
+    both = left.join(lines.withColumnRenamed("k", "r"), F.col("k") == F.col("r"))
+    assert rows(pairs.select("id", "n")) == rows(both.select("id", "n"))
+
+
+def test_keys_that_cannot_be_compared_are_refused(spark, threshold):
+    left = spark.range(500).selectExpr("id", "7 k")
+    right = spark.createDataFrame([("7", 1)], "k string, v int")
+    hot = hot_keys(left, {"k": ["k"]}, hot_rows=100)["k"]
+    with pytest.raises(TypeError):
+        lookup_join(left, right, ["k"], hot=hot)
+
+
+def test_a_repeated_hot_lookup_key_is_an_error(spark, threshold):
+    left = spark.range(500).selectExpr("id", "7 k")
+    right = spark.createDataFrame([(7, 1), (7, 2)], "k int, v int")
+    hot = hot_keys(left, {"k": ["k"]}, hot_rows=100)["k"]
+    with pytest.raises(Exception, match="several rows"):
+        lookup_join(left, right, ["k"], hot=hot).collect()
+
+
+def test_filters_reach_the_scan_through_a_lookup(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 k", "id % 3 company").write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    right = spark.createDataFrame([(1, "a")], "k long, v string")
+    plan = lookup_join(items, right, ["k"]).where("company = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(company,1)" in plan
