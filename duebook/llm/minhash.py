@@ -3,13 +3,16 @@
 1. Per text: a hash of its whole shingle set, 128 minima, of which each keeps its low four
    bits, packed into eight longs, and 32 band keys of four full minima each.
 2. Texts with equal sets are one class; only its smallest id goes on.
-3. Ids that share a band form buckets.  Buckets of the same members count once.
-4. In each bucket all members are compared with one of them, the pivot: first the packed
-   bits (collision-corrected similarity by bit counts), then, if the estimate is within five
-   deviations of the limit or above it, the full sets.  Links make components; buckets whose
-   members are in one component are done, the others go on with another pivot.  The pairs
-   that are then still open, in different components of one bucket, are all compared.
-   Every link between components is found so, without a row per pair of a group.
+3. Ids that share a band form buckets.  Buckets of the same members count once.  The smallest
+   id of a bucket is its pivot; all buckets of one pivot make a canopy, so that two ids that
+   share a bucket share a canopy.
+4. All members of a canopy are compared with its pivot: first the packed bits
+   (collision-corrected similarity by bit counts), then, if the estimate is not more than
+   five deviations below the limit, the full sets.  Links make components; a canopy whose
+   members are in one component is done.
+5. In the others the pairs of different components are compared in the same way, block by
+   block: a canopy is cut into blocks of a few hundred members and each pair of blocks is a
+   task of its own that gives back a spanning forest of the links it finds, no pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ BITS = 4
 ROWS = 4                  # minima per band: 0.41 of the bands of a pair at 0.8 agree, of 32
 BANDS = MINIMA // ROWS
 SLACK = 0.2               # five deviations of the estimate at similarity 0.8
-PIVOTS = 4                # rounds of pivots before the open pairs are compared one by one
+BLOCK = 256               # members of a block
+CELLS = 4_096             # shingles that are counted at once in a block
 
 _LONGS = T.ArrayType(T.LongType())
 
@@ -140,6 +144,94 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
+def _shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``."""
+    values, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    often = np.bincount(place, minlength=len(values)) > 1
+    rank = np.where(often, np.cumsum(often) - 1, -1)
+    place, width = rank[place], int(often.sum())
+    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in [*a, *b]])
+    owner, place = owner[place >= 0], place[place >= 0]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, width, CELLS):
+        lo, hi = np.searchsorted(place, [at, at + CELLS])
+        grid = np.zeros((len(a) + len(b), min(CELLS, width - at)), np.float32)
+        grid[owner[lo:hi], place[lo:hi] - at] = 1
+        total += grid[:len(a)] @ grid[len(a):].T
+    return total.astype(np.int64)
+
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``similarity`` of all rows of ``a`` with all of ``b``."""
+    agree = np.zeros((len(a), len(b)), np.int32)
+    for n in range(a.shape[1]):
+        x = a[:, None, n] ^ b[None, :, n]
+        for step in (1, 2):
+            x |= x >> np.uint64(step)
+        agree += 64 // BITS - np.bitwise_count(x & np.uint64(0x1111111111111111)).astype(np.int32)
+    chance = 1 / (1 << BITS)
+    return (agree / MINIMA - chance) / (1 - chance)
+
+
+def _forest(links: np.ndarray) -> np.ndarray:
+    """Links that join what the ones before have not joined yet."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+    kept = []
+    for a, b in links.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            parent[x] = y
+            kept.append((a, b))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def _block_links(rows: DataFrame, bits: DataFrame, sets: DataFrame, percent: int,
+                 least: float) -> DataFrame:
+    """Links between different components of a canopy, a spanning forest per pair of blocks."""
+    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("id", "canopy"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    spread = (rows.withColumn("parts", parts).withColumn("own", own)
+              .join(bits, "id").join(sets, "id").withColumn("other", other)
+              .select("canopy", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                      "own", "id", "component", "bits", "shingles"))
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        x, y = key[1].as_py(), key[2].as_py()
+        own = np.asarray(table["own"])
+        ids, group = np.asarray(table["id"]), np.asarray(table["component"])
+        packed = np.asarray(table["bits"].combine_chunks().flatten()).view(np.uint64)
+        packed = packed.reshape(-1, MINIMA * BITS // 64)
+        column = table["shingles"].combine_chunks()
+        flat, ends = np.asarray(column.flatten()), np.asarray(column.offsets)
+        ends = ends - ends[0]
+        one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        found = _agreeing(packed[one], packed[two]) >= least
+        found &= group[one][:, None] != group[two][None, :]
+        if x == y:
+            found &= ids[one][:, None] < ids[two][None, :]
+        one, two = one[found.any(axis=1)], two[found.any(axis=0)]
+        links = np.empty((0, 2), np.int64)
+        if len(one):
+            found = found[found.any(axis=1)][:, found.any(axis=0)]
+            size = np.diff(ends)
+            shared = _shared_counts([flat[ends[n]:ends[n + 1]] for n in one],
+                                    [flat[ends[n]:ends[n + 1]] for n in two])
+            union = size[one][:, None] + size[two][None, :] - shared
+            a, b = np.nonzero(found & (100 * shared >= percent * union))
+            links = _forest(np.stack([ids[one[a]], ids[two[b]]], axis=1))
+        return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
+    return staged(spread.groupBy("canopy", "x", "y").applyInArrow(compare, "a long, b long"))
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
                 percent: int = 80) -> DataFrame:
     """``key``, n_shingles, class_id, component_id and kept, one row per document.
@@ -175,47 +267,23 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     least = percent / 100 - SLACK
     left = bits.withColumnsRenamed({"id": "a", "bits": "bits_a"})
     right = bits.withColumnsRenamed({"id": "b", "bits": "bits_b"})
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        near = (pairs.join(right, "b").join(left, "a")
-                .where(similarity(F.col("bits_a"), F.col("bits_b")) >= least).select("a", "b"))
-        return staged(_verified(staged(near), sets, percent))
-
-    links, group = None, None
-    pairs = (members.join(buckets, "band").where("id != pivot")
-             .select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
-    for turn in range(PIVOTS):
-        found = links_of(staged(pairs))
-        links = found if links is None else links.union(found)
+    canopies = staged(members.join(buckets, "band").select("pivot", "id").distinct())
+    pairs = canopies.where("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    near = staged(pairs.join(right, "b").join(left, "a")
+                  .where(similarity(F.col("bits_a"), F.col("bits_b")) >= least).select("a", "b"))
+    links = staged(_verified(near, sets, percent))
+    group = staged(components(links))
+
+    placed = staged(canopies.join(group, "id", "left")
+                    .withColumn("component", F.coalesce("component", "id")))
+    still = staged(placed.groupBy("pivot").agg(F.min("component").alias("lo"),
+                                               F.max("component").alias("hi"), F.count("*").alias("n"))
+                   .where("lo != hi").select(F.col("pivot").alias("canopy"), "n"))
+    open_rows = staged(placed.join(still, F.col("pivot") == F.col("canopy"))
+                       .select("canopy", "n", "id", "component"))
+    if not open_rows.isEmpty():
+        links = links.union(_block_links(open_rows, bits, sets, percent, least))
         group = staged(components(links))
-        placed = (members.join(group, "id", "left")
-                  .withColumn("component", F.coalesce("component", "id")))
-        still = (placed.groupBy("band").agg(F.min("component").alias("lo"),
-                                            F.max("component").alias("hi"),
-                                            F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("pivot"),
-                                            F.min_by("component", F.xxhash64("id", F.lit(turn)))
-                                            .alias("pivot_group"))
-                 .where("lo != hi").select("band", "pivot", "pivot_group"))
-        still = staged(still)
-        if still.isEmpty():
-            break
-        members = staged(placed.join(still, "band").select("id", "band", "component", "pivot",
-                                                           "pivot_group"))
-        pairs = (members.where("component != pivot_group")
-                 .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-                 .distinct())
-        if turn == PIVOTS - 1:
-            # what is open now: all pairs of different components that the bits do not rule out
-            side = members.select("id", "band", "component").join(bits, "id")
-            other = side.withColumnsRenamed({c: f"{c}_b" for c in side.columns})
-            open_pairs = side.join(
-                other, (F.col("band") == F.col("band_b")) & (F.col("id") < F.col("id_b"))
-                & (F.col("component") != F.col("component_b"))
-                & (similarity(F.col("bits"), F.col("bits_b")) >= least))
-            found = links_of(staged(open_pairs.select(F.col("id").alias("a"), F.col("id_b").alias("b"))
-                                    .distinct()))
-            group = staged(components(links.union(found)))
-        members = members.select("id", "band")
     named = group.select(F.col("id").alias("class_id"), F.col("component").alias("component_id"))
     result = known.join(named, "class_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "class_id"))
