@@ -66,6 +66,15 @@ def by_batch(df: DataFrame, columns: list[str], fields: list[T.StructField],
                         *[F.col(n) for n in names])
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns named c0, c1 and so on, and the new name of each old one.
+
+    For operators that hand all columns through: no name of theirs can then clash.
+    """
+    names = {c: f"c{n}" for n, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 # --- hashing of words inside tasks -----------------------------------------------------------
 
 def splitmix(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import by_batch, list_array, lower_ascii, splitmix, staged, texts_of
+from .common import by_batch, list_array, lower_ascii, numbered, splitmix, staged, texts_of
 
 LANGUAGES = ("de", "en", "es", "fr")
 SAMPLE = 4_000           # texts with a declared language that the text model is fitted to
@@ -190,6 +190,8 @@ def language_scores(docs: DataFrame, **options) -> DataFrame:
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     declared: str = "lang", host: str = "source") -> DataFrame:
     """The rows whose language is found; the found language replaces the declared one."""
-    found = identify(docs, key, text, declared, host, keep=docs.columns).where("__kept")
-    return found.select(*[F.col("__lang").alias(c) if c == declared else F.col(f"`{c}`")
+    plain, names = numbered(docs)
+    found = identify(plain, names[key], names[text], names[declared], names[host],
+                     keep=plain.columns).where("__kept")
+    return found.select(*[F.col("__lang" if c == declared else names[c]).alias(c)
                           for c in docs.columns])

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import WordHasher, by_batch, list_array, splitmix, staged, texts_of
+from .common import WordHasher, by_batch, list_array, numbered, splitmix, staged, texts_of
 
 SAMPLE = 5_000           # texts the scorer is fitted to, the first by hash of their key
 DIMENSIONS = 2_048       # hashed features
@@ -165,14 +165,15 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, penalty: float = 1e-4)
     if not len(x):
         return np.zeros(x.shape[1], np.float32)
     share = np.clip(y.mean(), 0.02, 0.98)
-    weight = (y / share + (1 - y) / (1 - share)) / 2
-    w, m, v = (np.zeros(x.shape[1]) for _ in range(3))
+    weight = ((y / share + (1 - y) / (1 - share)) / 2).astype(np.float32)
+    y = y.astype(np.float32)
+    w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     for step in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (weight * (p - y)) / len(x) + penalty * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.2 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    return w.astype(np.float32)
+    return w
 
 
 def quality_model(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> np.ndarray:
@@ -221,5 +222,6 @@ def quality_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text",
               sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that ``quality_scores`` keeps, all columns as they are."""
-    rows = _scored(docs, key, text, docs.columns, sample)
-    return rows.where(F.col("__score") >= THRESHOLD).drop("__score")
+    plain, names = numbered(docs)
+    rows = _scored(plain, names[key], names[text], plain.columns, sample)
+    return rows.where(F.col("__score") >= THRESHOLD).drop("__score").toDF(*docs.columns)
