@@ -123,13 +123,11 @@ def similarity(a: Column, b: Column) -> Column:
     Agreeing groups of four bits are counted: the xor is folded so that one bit per group
     tells a difference.
     """
-    agree = F.lit(0)
-    for n in range(MINIMA * BITS // 64):
-        x = F.get(a, F.lit(n)).bitwiseXOR(F.get(b, F.lit(n)))
+    def agreeing(total: Column, x: Column) -> Column:
         for step in (1, 2):
             x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        agree = agree + F.lit(64 // BITS) - F.bit_count(
-            x.bitwiseAND(F.lit(0x1111111111111111)))
+        return total + F.lit(64 // BITS) - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    agree = F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), agreeing)
     chance = 1 / (1 << BITS)
     return (agree / F.lit(float(MINIMA)) - F.lit(chance)) / F.lit(1 - chance)
 
@@ -193,31 +191,51 @@ def _forest(links: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
+def _runs(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, and where each row's begin and end."""
+    whole = column.combine_chunks()
+    ends = np.asarray(whole.offsets)
+    return np.asarray(whole.flatten()), ends - ends[0]
+
+
+def _members(flat: np.ndarray, ends: np.ndarray, below: int) -> np.ndarray:
+    """Rows by values less than ``below``: 1 where the row holds the value."""
+    values, place = np.unique(flat, return_inverse=True)
+    count = int(np.searchsorted(values, below))
+    member = np.zeros((len(ends) - 1, count), np.float32)
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    member[owner[place < count], place[place < count]] = 1
+    return member
+
+
 def _block_links(rows: DataFrame, bits: DataFrame, sets: DataFrame, percent: int,
                  least: float) -> DataFrame:
     """Links between different components of a canopy, a spanning forest per pair of blocks."""
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id", "canopy"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    lists = rows.groupBy("id").agg(F.array_sort(F.collect_set("canopy")).alias("canopies"))
+    facts = staged(lists.join(bits, "id").join(sets, "id"))     # a canopy per band at most
     spread = (rows.withColumn("parts", parts).withColumn("own", own)
-              .join(bits, "id").join(sets, "id").withColumn("other", other)
+              .withColumn("other", other).join(facts, "id")
               .select("canopy", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                      "own", "id", "component", "bits", "shingles"))
+                      "own", "id", "component", "bits", "shingles", "canopies"))
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        x, y = key[1].as_py(), key[2].as_py()
+        canopy, x, y = (k.as_py() for k in key)
         own = np.asarray(table["own"])
         ids, group = np.asarray(table["id"]), np.asarray(table["component"])
         packed = np.asarray(table["bits"].combine_chunks().flatten()).view(np.uint64)
         packed = packed.reshape(-1, MINIMA * BITS // 64)
-        column = table["shingles"].combine_chunks()
-        flat, ends = np.asarray(column.flatten()), np.asarray(column.offsets)
-        ends = ends - ends[0]
+        flat, ends = _runs(table["shingles"])
         one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
         found = _agreeing(packed[one], packed[two]) >= least
         found &= group[one][:, None] != group[two][None, :]
         if x == y:
             found &= ids[one][:, None] < ids[two][None, :]
+        # a pair with an earlier canopy in common is compared there
+        early = _members(*_runs(table["canopies"]), canopy)
+        found &= early[one] @ early[two].T == 0
         one, two = one[found.any(axis=1)], two[found.any(axis=0)]
         links = np.empty((0, 2), np.int64)
         if len(one):
