@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"     # the catalog's name for a null date
 
 
 def clustered(df: DataFrame, *columns: str) -> DataFrame:
@@ -32,15 +33,37 @@ def create(df: DataFrame, table: str, partition: str) -> None:
         df.limit(0).write.partitionBy(partition).saveAsTable(table)
 
 
+def recover(spark: SparkSession, table: str) -> None:
+    """Bring back a table whose full load was stopped between its two renames.
+
+    The old rows come back if they were set aside, else those of a first load that was written.
+    """
+    beside, aside = f"{table}__next", f"{table}__old"
+    if not spark.catalog.tableExists(table):
+        for copy in (aside, beside):
+            if spark.catalog.tableExists(copy):
+                spark.sql(f"ALTER TABLE {copy} RENAME TO {table}")
+                break
+    elif spark.catalog.tableExists(aside):
+        spark.sql(f"DROP TABLE {aside}")
+
+
 def full_load(df: DataFrame, table: str, partition: str | None = None) -> None:
-    """Replace a table; it may be read by ``df`` itself."""
+    """Replace a table; it may be read by ``df`` itself.
+
+    The old table is dropped last, so there is a whole copy at any time; ``recover`` puts it
+    in place after a stop, and the next load does so by itself.
+    """
     spark = df.sparkSession
-    beside = f"{table}__next"
+    beside, aside = f"{table}__next", f"{table}__old"
+    recover(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {beside}")
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.saveAsTable(beside)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
 
 
 @contextmanager
@@ -61,9 +84,9 @@ def replace_partitions(df: DataFrame, table: str) -> None:
 
 
 def partition_dates(spark: SparkSession, table: str) -> list[dt.date]:
-    """Dates of a date-partitioned table, from the catalog alone."""
-    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return sorted(dt.date.fromisoformat(row[0].split("=", 1)[1]) for row in found)
+    """Dates of a date-partitioned table, from the catalog alone; without the one of null dates."""
+    found = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return sorted(dt.date.fromisoformat(text) for text in found if text != NO_DATE)
 
 
 def drop_partitions(spark: SparkSession, table: str, column: str, dates: Sequence[dt.date]) -> None:
@@ -94,15 +117,29 @@ def keyed_upsert(source: DataFrame, table: str, keys: Sequence[str], partition:
     only those that exist already are read.  ``dates`` saves the pass that lists them.
     ``cluster`` lays the rows out by partition and these columns; ``None`` keeps the layout
     of the source where nothing has to be merged into it.
+
+    Without ``dates`` the batch is written beside the table first, so it is computed once; a
+    key that it holds twice is an error then, as the table would get both rows.
     """
     spark = source.sparkSession
     create(source, table, partition)
+    batch = f"{table}__batch"
     if dates is None:
+        spark.sql(f"DROP TABLE IF EXISTS {batch}")
+        source.write.saveAsTable(batch)
+        source = spark.table(batch)
+        twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"the batch for {table} holds a key more than once: {twice[0]}")
         dates = [row[0] for row in source.select(partition).distinct().collect()]
-    present = sorted({*dates} & {*partition_dates(spark, table)})
+    present = sorted({d for d in dates if d is not None} & {*partition_dates(spark, table)})
+    old = F.col(partition).isin(present)
+    if None in dates:
+        old = old | F.col(partition).isNull()
     result = source
-    if present:
-        result = upserted(spark.table(table).where(F.col(partition).isin(present)), source, keys)
+    if present or None in dates:
+        result = upserted(spark.table(table).where(old), source, keys)
     if present or cluster is not None:
         result = clustered(result, partition, *(cluster or ()))
     replace_partitions(result, table)
+    spark.sql(f"DROP TABLE IF EXISTS {batch}")

@@ -129,3 +129,30 @@ def test_slice_is_read_with_a_pruned_partition(spark, db):
     kept = snapshot.retain(spark.table(f"{db}.hot"), START + dt.timedelta(1))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_full_load_recovers_after_a_stop(spark, db):
+    table = f"{db}.loaded"
+    tables.full_load(spark.range(3), table)
+    # stopped after the old table was set aside
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    spark.range(9).write.saveAsTable(f"{table}__next")
+    tables.recover(spark, table)
+    assert spark.table(table).count() == 3
+    tables.full_load(spark.table(table).where("id > 0"), table)
+    assert spark.table(table).count() == 2
+    assert not spark.catalog.tableExists(f"{table}__old")
+    # stopped in a first load
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__next")
+    tables.full_load(spark.range(1), table)
+    assert spark.table(table).count() == 1
+
+
+def test_upsert_refuses_repeated_keys_and_takes_null_dates(spark, db):
+    table = f"{db}.upserted"
+    batch = spark.sql("select 1 k, date'2001-01-01' d, 'a' v union all select 2, null, 'b'")
+    tables.keyed_upsert(batch, table, ["k", "d"], "d")
+    tables.keyed_upsert(batch.withColumn("v", F.lit("c")), table, ["k", "d"], "d")
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, "c"), (2, "c")]
+    with pytest.raises(ValueError, match="more than once"):
+        tables.keyed_upsert(batch.union(batch), table, ["k", "d"], "d")
