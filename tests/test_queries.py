@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from duebook.operators import quality
 from duebook.schemas import ARCHIVE_COLUMNS, INVOICE_COLUMNS, SKU_COLUMNS, SNAPSHOT_COLUMNS
 from tests.conftest import DATA
 from tests.helpers import connect, same_as_oracle
-from workload import ORACLES, QUERIES
+from workload import ORACLES, QUERIES, snapshots
+from workload.frames import Frames
 
 HEADLINE = """
     customer_aging aging_live prorate material_enrich resolve_sold_to resolve_customer_key due_date
@@ -51,3 +53,32 @@ def test_scan_is_narrow_and_filtered(spark):
     df = QUERIES["scan_projected"](spark, DATA)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double>" in plan
+
+
+def test_reconciliation_reads_the_fact_and_not_the_snapshot(spark):
+    """Rows and amounts that the snapshot lost do not vanish from what is expected of it."""
+    expected = {}
+    for lost in (False, True):
+        f = Frames(spark, DATA)
+        if lost:
+            f._built["snapshot"] = f["snapshot"].where("snapshot_date = date'2001-06-30'")
+        for check in (snapshots.dq_01, snapshots.dq_02):
+            expected.setdefault(check.__name__, []).append(check(f).first().sample_detail)
+    for details in expected.values():
+        assert details[0] == details[1]
+
+
+@pytest.mark.parametrize("key", ["daily_run", "backfill"])
+def test_registered_runs_are_checked(spark, con, monkeypatch, key):
+    checked = []
+    monkeypatch.setattr(snapshots.snapshot, "assert_healthy",
+                        lambda checks: checked.append(quality.assert_healthy(checks)))
+    same_as_oracle(QUERIES[key](spark, DATA), con, ORACLES[key])
+    assert len(checked) == (4 if key == "daily_run" else 3)
+
+
+def test_checks_of_whole_tables_fire_on_one_date_only(spark, con):
+    for key, date in (("dq_08_dates", "2001-06-16"), ("dq_09_dates", "2001-07-01")):
+        found = QUERIES[key](spark, DATA)
+        same_as_oracle(found, con, ORACLES[key])
+        assert [r.run_date for r in found.collect()] == [date]

@@ -416,12 +416,14 @@ def material_enrich(f: Frames) -> DataFrame:
         "material_cbc_name")
 
 
-def material_fact(f: Frames) -> DataFrame:
+def material_fact(f: Frames, lines: DataFrame | None = None) -> DataFrame:
     tables = invoice_tables(f)
+    if lines is not None:
+        tables["billing_lines"] = lines
     hot = invoice.find_hot(tables)
     base = invoice.invoice_base(tables, AS_OF, hot)
     facts = invoice.invoice_columns(base, tables["security_tags"]).select(*INVOICE_COLUMNS)
-    return sku.sku_fact(facts, f["billing_lines"], f["materials_current"], AS_OF,
+    return sku.sku_fact(facts, tables["billing_lines"], f["materials_current"], AS_OF,
                         hot_items=hot.get("billing", Hot(0, {})))
 
 
