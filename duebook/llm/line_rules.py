@@ -80,19 +80,21 @@ def normalised(line: Column) -> Column:
 
 def line_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
                max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """Statistics, base verdict, words left after removing shared lines, and the verdict.
+    """Statistics, base verdict, the text without shared lines, its lost words, and the verdict.
 
     A normalised line that more than ``max_documents`` different texts of one host hold is
     removed from all documents of that host.  A document is rejected (``kept`` false) if it
     fails the base rules or if removed lines held more than ``max_removed`` of its words or
     left fewer than ten.  Equal texts count once, so copies do not condemn each other.
+    ``clean_text`` stands in place of ``text``, whatever the verdict: the other lines as they
+    are and in their order.
 
     Null and empty texts have no words and fail; a null host is a host of its own.  The key
     must be unique (rows of a repeated key share their removed words); rows with a null key are kept
     as rows and lose no lines.  Columns of ``docs`` go through unless an added one has their name.
     """
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             "removed_words", "kept"]
+             "removed_words", "kept", "clean_text"]
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: x.rlike(WORD))
     hashed = docs.where(F.col(text).isNotNull()).select(
         F.col(key).alias("__key"), F.col(host).alias("__host"),
@@ -110,15 +112,22 @@ def line_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: s
     removed = (hashed.where("__key is not null")
                .groupBy("__key", "__line").agg(F.sum("__n").alias("__n"))
                .join(shared, F.col("__line") == F.col("__shared"))
-               .groupBy("__key").agg(F.sum("__n").alias("removed_words"))
+               .groupBy("__key").agg(F.sum("__n").alias("removed_words"),
+                                     F.collect_list("__line").alias("__gone"))
                .withColumnRenamed("__key", "__removed"))
-    rows = line_statistics(docs.drop(*[c for c in added if c in docs.columns and c not in (key, text)]),
+    held = docs.withColumn("__host", F.col(host))
+    rows = line_statistics(held.drop(*[c for c in added if c in docs.columns and c not in (key, text)]),
                            text)
-    rows = rows.drop(*[c for c in (text,) if c != key])
     rows = rows.join(removed, F.col(key) == F.col("__removed"), "left").drop("__removed")
     lost = F.coalesce(F.col("removed_words"), F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     depleted = (lost > F.col("n_words") * F.lit(max_removed)) | (F.col("n_words") - lost < MIN_WORDS)
-    return rows.withColumns({"removed_words": lost.cast("long"), "base_failed": failed}).withColumn(
-        "kept", ~F.col("base_failed") & ~depleted)
+    # the lines of a text are told by their hashes, so no text leaves its row
+    left = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~x.rlike(WORD) | ~F.array_contains(
+        F.col("__gone"), F.xxhash64(F.col("__host"), F.xxhash64(normalised(x)))))
+    cleaned = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    rows = rows.withColumns({"removed_words": lost.cast("long"), "base_failed": failed,
+                             "__clean": cleaned, "__kept": ~failed & ~depleted})
+    rows = rows.drop(*[c for c in (text,) if c != key], "__gone", "__host")
+    return rows.withColumnsRenamed({"__kept": "kept", "__clean": "clean_text"})

@@ -73,6 +73,23 @@ def test_shared_lines(spark, odd):
     assert {r.doc_id for r in more.collect() if r.kept} <= {7, None}
 
 
+def test_cleaned_text_lacks_the_shared_lines_only(spark, odd):
+    own = "this line of {} is its own and it has words enough to stand alone"
+    rows = [(n, f"Menu  1\n\n{own.format(chr(97 + n) * 3)}\nMENU 22\n tail {chr(97 + n)} ", "h") for n in range(26)]
+    rows += [(50, "Menu 3\nthe same line on another host stays", "g"), (51, "menu 5", "h"), (52, None, "h"),
+             (None, "Menu 4\nhas no key", "h"), (60, "Menu 7\nx", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    frame = frame.withColumn("clean_text", F.lit("old"))
+    found = {r.doc_id: r for r in line_rules.line_rules(frame).collect()}
+    assert found[2].clean_text == f"\n{own.format('ccc')}\n tail c " and found[2].kept
+    assert [found[n].clean_text for n in (50, 51, 52, None, 60)] == [
+        rows[26][1], "", None, "Menu 4\nhas no key", "Menu 7\nx"]
+    for n in range(26):
+        assert len(found[n].clean_text.split()) == found[n].n_words - found[n].removed_words
+    other = line_rules.line_rules(odd).select("clean_text").collect()
+    assert sorted(map(str, (r[0] for r in other))) == sorted(str(r[1]) for r in ODD)
+
+
 # --- URLs --------------------------------------------------------------------------------------
 
 def test_url_filter(spark):
