@@ -360,6 +360,24 @@ def test_main_text(spark):
     assert blocks.main_text(pages.limit(0)).count() == 0
 
 
+def test_only_scripts_styles_and_templates_go_with_their_content():
+    def texts(page):
+        return [(b.path[-1].split(" ")[0] if b.path else "", b.text) for b in blocks.blocks_of(page)]
+    article = "<article><p>The whole article.</p></article>"
+    read = [("p", "The whole article.")]
+    assert texts(f'<nav><svg class="i"/></nav>{article}') == read
+    assert texts(f'<nav><object data="x"></nav>{article}<object></object>') == read
+    assert texts(f"<nav><svg><path d='M0'></nav>{article}<svg></svg>") == read
+    assert texts(f"<svg><style/><script href='x'/></svg>{article}<style></style><script></script>") == read
+    assert texts("<p>Mass: <math><mi>e</mi><mo>=</mo><mi>m</mi></math> here, <svg><title>An icon</title>"
+                 "<text>A</text><text>B</text><a/></svg>and on</p>") == [
+        ("p", "Mass: e=m here, An icon A B and on")]
+    assert texts("<p>One <canvas>drawn</canvas> <object data=x>spare</object><p>two<noscript>three</noscript>") == [
+        ("p", "One drawn spare"), ("p", "two"), ("noscript", "three")]
+    assert texts("<p>a<script>b</script><style>c</style><template><p>d</p></template>") == [("p", "a")]
+    assert all(not b.linked for b in blocks.blocks_of("<svg><a/></svg><p>text</p>"))
+
+
 def test_gradients_are_those_of_the_loss():
     draw = np.random.default_rng(6)
     labeller = blocks.Labeller()
