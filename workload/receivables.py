@@ -79,7 +79,7 @@ def resolve_customer_key(f: Frames) -> DataFrame:
 
 @query("enrich_hierarchy", *oracles.SOLD_TO_FRAMES, sql=f"""
     with {oracles.SOLD_TO}
-    select {KEYS}, customer_key_id, {oracles.HIERARCHY}
+    select {KEYS}, customer_key_id, {oracles.HIERARCHY_SQL}
     from resolved left join customers_current d using (customer_key_id)""")
 def enrich_hierarchy(f: Frames) -> DataFrame:
     rows = sold_to.resolve_customer_key(with_sold_to(f), f["customers_current"])
