@@ -15,6 +15,7 @@ from .lattice import embedding_links
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
 from .packing import length_buckets
+from .prefix_trie import prefix_trie
 from .quality import quality_scores
 from .sentencepieces import encode
 from .toxicity import toxicity
@@ -214,3 +215,52 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     from reach left join counts using (vec_id) group by vec_id, n""")
 def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links(read(spark, folder, "embeddings"))
+
+
+#: Unsigned CRC32 of the decimal text of ``c``, modulo 4, in steps of one bit.
+_HEAD = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(
+        range(8 * length(c::varchar)), lambda i: case when i % 8 = 0
+            then ascii(substr(c::varchar, (i // 8 + 1)::int, 1))::bigint else 0 end)),
+        lambda a, x: case when xor(a, x) & 1 = 1 then xor(xor(a, x) >> 1, 3988292384)
+                          else xor(a, x) >> 1 end), 4294967295) % 4"""
+
+
+@query("op11_prefix_trie", sql=rf"""
+    with turns as (
+        select conv_id c, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''),
+                                        coalesce(text, ''))) t,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) w, turn
+        from conversations where conv_id is not null),
+    placed as (
+        select c, t, w, row_number() over (partition by c order by turn nulls first, t) p from turns),
+    convs as (select c, {_HEAD} h from (select distinct c from placed)),
+    rebuilt as (
+        select convs.c, t, w, 0 own, p from convs join placed b on b.c = convs.c - convs.c % 20 and p <= h
+        union all
+        select convs.c, t, w, 1, p from convs join placed b on b.c = convs.c and p > h),
+    lists as (
+        select convs.c, coalesce(list(t order by own, p) filter (t is not null), []) ts,
+               coalesce(list(w order by own, p) filter (t is not null), []) ws
+        from convs left join rebuilt using (c) group by 1),
+    spots as (
+        select c, d, sha256(array_to_string(ts[1:d], ',')) node,
+               case when d > 0 then sha256(array_to_string(ts[1:d - 1], ',')) end up,
+               case when d > 0 then ws[d] else 0 end w, d = len(ts) ends
+        from (select c, ts, ws, unnest(range(0, len(ts) + 1)) d from lists)),
+    nodes as (
+        select d, node, up, min(c) c, count(*) n, min(w) w,
+               sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) sha
+        from spots group by d, node, up),
+    kids as (select d - 1 d, up node, count(*) k from nodes where d > 0 group by 1, 2),
+    -- each node with all nodes of its subtree, by a member of the lower one
+    below as (
+        select a.d, a.node, sum((l.n - 1) * l.w) saved, count(*) filter (k is null) leaves
+        from nodes l left join kids on kids.d = l.d and kids.node = l.node
+        join spots a on a.c = l.c and a.d <= l.d group by 1, 2)
+    select x.c conv_id, x.d depth, y.c parent_conv_id, x.n n_convs, coalesce(k, 0) n_children,
+           leaves n_leaves, cast(saved as bigint) saved_tokens, x.sha ends_sha256
+    from nodes x join below b on b.d = x.d and b.node = x.node
+    left join kids on kids.d = x.d and kids.node = x.node
+    left join nodes y on y.d = x.d - 1 and y.node = x.up""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(read(spark, folder, "conversations"))
