@@ -12,12 +12,14 @@ from .blocks import main_text
 from .common import read
 from .langid import language_scores
 from .lattice import embedding_links
+from .lexical import ranked_search
 from .line_rules import MAX_DOCUMENTS, MAX_REMOVED, line_rules
 from .minhash import near_groups
 from .packing import length_buckets
 from .prefix_trie import prefix_trie
 from .quality import quality_scores
 from .sentencepieces import encode
+from .topk import LARGEST, top_k
 from .toxicity import toxicity
 from .url_filter import RULES, host_of, url_filter
 
@@ -264,3 +266,50 @@ _HEAD = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(
     left join nodes y on y.d = x.d - 1 and y.node = x.up""")
 def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(read(spark, folder, "conversations"))
+
+
+@query("op12_top_k", sql=f"""
+    with usable as (
+        select vec_id, embedding::double[] x from embeddings
+        where vec_id is not null and embedding is not null
+          and len([c for c in embedding if c is null or not isfinite(c)]) = 0),
+    whole as (
+        select * from (select vec_id, [floor(256 * c) for c in x] v from usable)
+        where coalesce(list_sum([c * c for c in v]), 0) < {LARGEST}),
+    asked as (select distinct vec_id, v from whole where vec_id % 50 = 0),
+    scored as (
+        select q.vec_id query_id, q.v, c.vec_id, cast(coalesce(list_inner_product(q.v, c.v), 0) as bigint) score
+        from asked q join whole c on c.vec_id <> q.vec_id and len(c.v) = len(q.v)),
+    ranked as (
+        select *, row_number() over (partition by query_id, v order by score desc, vec_id) place from scored)
+    select query_id, cast(place as integer) as "rank", vec_id, score from ranked where place <= 5""")
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(read(spark, folder, "embeddings"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query("op13_lexical_search", sql=rf"""
+    with asked as (
+        select item_id, text, unnest({_TERMS}) t from (select distinct item_id, text from benchmark)),
+    listed as (select doc_id, {_TERMS} ts from documents),
+    whole as (select count(*) c, sum(len(ts))::bigint l from listed where len(ts) > 0),
+    hits as (
+        select doc_id, n, t, count(*) tf from (select doc_id, len(ts) n, unnest(ts) t from listed)
+        where t in (select t from asked) group by 1, 2, 3),
+    weights as (
+        select t, floor(1000 * ln((2 * max(c) + 2) / (2 * count(*) + 1)))::bigint w
+        from hits, whole group by t),
+    impacts as (
+        select doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * c) // l))) impact
+        from hits join weights using (t), whole),
+    scores as (
+        select item_id, text, doc_id, sum(impact)::bigint score
+        from asked join impacts using (t) group by 1, 2, 3 having sum(impact) > 0),
+    ranked as (
+        select *, row_number() over (partition by item_id, text order by score desc, doc_id) place from scores)
+    select item_id, cast(place as integer) as "rank", doc_id, score from ranked where place <= 10""")
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
