@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from duebook.schemas import CHECK_SCHEMA, SNAPSHOT_KEY
 
 from .aging import CLEARED_ON, STATUS
+from .fingerprints import PRINT, fingerprint, repeated
 
 TOLERANCE = 0.01
 RETENTION_DAYS = 60
@@ -48,8 +49,9 @@ def bucket_gap(dispute: str = "disjoint") -> Column:
 
 def facts(as_of: dt.date, snapshot: DataFrame, sku: DataFrame | None = None,
           open_only: DataFrame | None = None, archive: DataFrame | None = None,
-          days: int = RETENTION_DAYS, dispute: str = "disjoint") -> DataFrame:
-    """The numbers of the checks, as one row.
+          days: int = RETENTION_DAYS, dispute: str = "disjoint",
+          late: DataFrame | None = None) -> DataFrame:
+    """The numbers of the checks, as one row; ``late`` are late clearings that today's slice has.
 
     Of the snapshot's past only date and state are read; amounts and ids of today's
     partition alone.
@@ -73,6 +75,8 @@ def facts(as_of: dt.date, snapshot: DataFrame, sku: DataFrame | None = None,
                   F.col(DOCUMENT_ID), F.col("material_number"))]
     if sku is not None:
         parts.append(rows(sku, "sku", F.col(CLEARED_ON), F.col(STATUS), F.col(amount), no_gap))
+    if late is not None:
+        parts.append(rows(late, "late", F.col(CLEARED_ON), F.col(STATUS), gap=no_gap))
     if open_only is not None:
         parts.append(rows(open_only, "open", nothing, gap=no_gap))
     if archive is not None:
@@ -99,7 +103,7 @@ def facts(as_of: dt.date, snapshot: DataFrame, sku: DataFrame | None = None,
         F.min(F.when(uneven, F.col("material"))).alias("uneven_material"),
         F.max(F.when(uneven, F.col("gap"))).alias("uneven_gap"),
         (count(mart & is_open) + count(mart & (F.col("state") == "CLEARED") & today)
-         ).alias("expected_rows"),
+         + count(F.col("table") == "late")).alias("expected_rows"),
         total(mart & is_open).alias("sku_open"),
         count(F.col("table") == "open").alias("open_only_rows"),
         count((F.col("table") == "archive") & today).alias("archived_today"),
@@ -168,26 +172,43 @@ def bucket_sums(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
     return fact_checks(facts(as_of, snapshot), ["DQ-03"], as_of)
 
 
-def closed_once(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
-    """DQ-04: a cleared item is in one slice only."""
-    keys = [k for k in SNAPSHOT_KEY if k not in ("snapshot_date", "snapshot_state")]
-    repeated = _repeated(snapshot.where("snapshot_state = 'CLEARED'"), keys)
-    return _repeat_check("DQ-04", repeated, as_of, [
+CLOSED_KEY = [k for k in SNAPSHOT_KEY if k not in ("snapshot_date", "snapshot_state")]
+
+
+def snapshot_prints(snapshot: DataFrame) -> DataFrame:
+    """Fingerprints of the rows of a snapshot, to be kept per date: of the grain, and of the key
+    that a cleared item may have once only."""
+    cleared = F.col("snapshot_state") == "CLEARED"
+    return snapshot.select(
+        "snapshot_date", *fingerprint(SNAPSHOT_KEY),
+        *[F.when(cleared, c).alias(f"closed_{name}")
+          for name, c in zip(PRINT, fingerprint(CLOSED_KEY))])
+
+
+def _closed_prints(kept: DataFrame) -> DataFrame:
+    rows = kept.where(F.col(f"closed_{PRINT[0]}").isNotNull())
+    return rows.select(*[F.col(f"closed_{name}").alias(name) for name in PRINT])
+
+
+def closed_once(snapshot: DataFrame, as_of: dt.date, kept: DataFrame | None = None) -> DataFrame:
+    """DQ-04: a cleared item is in one slice only.
+
+    ``kept`` are the ``snapshot_prints`` of the same rows; without them they are computed.
+    """
+    copies = repeated(snapshot.where("snapshot_state = 'CLEARED'"), CLOSED_KEY,
+                      None if kept is None else _closed_prints(kept))
+    return _repeat_check("DQ-04", copies, as_of, [
         ("sample_ad_id=", F.min(DOCUMENT_ID)), (", sample_mat=", F.min("material_number")),
         (", max_dups=", F.max("copies"))])
 
 
-def unique_grain(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
+def unique_grain(snapshot: DataFrame, as_of: dt.date, kept: DataFrame | None = None) -> DataFrame:
     """DQ-05: no key is in the snapshot twice."""
-    return _repeat_check("DQ-05", _repeated(snapshot, SNAPSHOT_KEY), as_of, [
+    return _repeat_check("DQ-05", repeated(snapshot, SNAPSHOT_KEY, kept), as_of, [
         ("sample_snap_date=", F.min("snapshot_date")), (", sample_ad_id=", F.min(DOCUMENT_ID)),
         (", max_dups=", F.max("copies"))])
 
 
-def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
-
-
 def _repeat_check(check: str, repeated: DataFrame, as_of: dt.date,
                   detail: list[tuple[str, Column]]) -> DataFrame:
     text = [piece for label, value in detail for piece in (label, value)]
@@ -219,13 +240,17 @@ def freshness(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
 
 def run_checks(snapshot: DataFrame, sku: DataFrame, open_only: DataFrame, archive: DataFrame,
                as_of: dt.date, days: int = RETENTION_DAYS, archive_started: bool = False,
-               dispute: str = "disjoint") -> DataFrame:
-    """All nine; empty when the load is healthy."""
-    numbers = facts(as_of, snapshot, sku, open_only, archive, days, dispute)
+               dispute: str = "disjoint", kept: DataFrame | None = None,
+               late: DataFrame | None = None) -> DataFrame:
+    """All nine; empty when the load is healthy.
+
+    ``kept`` are the fingerprints of the snapshot, ``late`` the late clearings of today's slice.
+    """
+    numbers = facts(as_of, snapshot, sku, open_only, archive, days, dispute, late)
     counted = [c for c in NAMES if c not in ("DQ-04", "DQ-05")]
     return reduce(DataFrame.unionByName, [
         fact_checks(numbers, counted, as_of, days, archive_started),
-        closed_once(snapshot, as_of), unique_grain(snapshot, as_of)])
+        closed_once(snapshot, as_of, kept), unique_grain(snapshot, as_of, kept)])
 
 
 def slice_bucket_check(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ at the end.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,8 +24,8 @@ from duebook.operators.skew import Hot, hot_keys
 from duebook.schemas import INVOICE_COLUMNS, require_columns
 from duebook.sources.ledger import ledger_items
 
-from .sold_to import (DOCUMENT, enrich_hierarchy, first_customer, resolve_customer_key,
-                      with_flow_customers, with_sold_to)
+from .sold_to import (DOCUMENT, account_table, first_customer_lines, flow_table, with_customer,
+                      with_flow, with_sold_to)
 
 TABLES = """
     open_items cleared_items document_lines document_headers breakdown_lines billing_lines
@@ -40,6 +40,8 @@ TARIFF_CONDITIONS = ["ZTRF", "ZTRM"]
 PLACEHOLDER_UNITS = ["LGL", "TMP", "CRP"]
 
 ITEM = [*DOCUMENT, "buzei"]
+REFERENCE = ["kidno", "vbel2", "posn2"]
+RULE_KEY = ["bukrs", "industry_business_code", "business_code"]
 
 
 # --- small lookup tables, one row per key ----------------------------------------------
@@ -53,16 +55,22 @@ def tariff_conditions(conditions: DataFrame) -> DataFrame:
             .groupBy("knumv").agg(F.max("kbetr").alias("tariff_value")))
 
 
-def tariff_documents(document_lines: DataFrame, billing_lines: DataFrame) -> DataFrame:
+def tariff_documents(document_lines: DataFrame, billing_lines: DataFrame,
+                     hot: Hot | None = None) -> DataFrame:
     """Documents with a line that was billed for a tariff material."""
+    return (tariff_lines(document_lines, billing_lines, hot)
+            .groupBy(*DOCUMENT).agg(F.max("tariff_material").alias("tariff_material")))
+
+
+def tariff_lines(document_lines: DataFrame, billing_lines: DataFrame,
+                 hot: Hot | None = None) -> DataFrame:
     billed = (billing_lines.where(F.col("matnr").isin(TARIFF_MATERIALS))
               .groupBy(F.col("vbeln").alias("kidno"), F.col("aubel").alias("vbel2"),
                        F.col("aupos").alias("posn2"))
               .agg(F.max("matnr").alias("tariff_material")))
     found = lookup_join(document_lines.select(*DOCUMENT, "kidno", "vbel2", "posn2"), billed,
-                        ["kidno", "vbel2", "posn2"])
-    return (found.where(F.col("tariff_material").isNotNull())
-            .groupBy(*DOCUMENT).agg(F.max("tariff_material").alias("tariff_material")))
+                        REFERENCE, hot=hot)
+    return found.where(F.col("tariff_material").isNotNull()).select(*DOCUMENT, "tariff_material")
 
 
 def business_codes(billing_lines: DataFrame, materials: DataFrame, products: DataFrame,
@@ -199,7 +207,8 @@ def find_hot(tables: Mapping[str, DataFrame], hot_rows: int | None = None) -> di
         "account": ["kunnr"], "account_company": ["kunnr", "bukrs"],
         "plain_account": ["plain_account", "bukrs"], "company": ["bukrs"], "terms": ["zterm"]},
         **kw)
-    hot |= hot_keys(tables["document_lines"], {"reference": ["kidno"], "center": ["prctr"]}, **kw)
+    hot |= hot_keys(tables["document_lines"], {"reference": ["kidno"], "center": ["prctr"],
+                                               "line_reference": REFERENCE}, **kw)
     hot |= hot_keys(tables["breakdown_lines"], {"breakdown": ITEM}, **kw)
     hot |= hot_keys(tables["document_flow"], {"order": ["vbelv"]}, **kw)
     hot |= hot_keys(tables["billing_lines"], {"material": ["matnr"]}, **kw)
@@ -241,45 +250,147 @@ def one_per_item(items: DataFrame) -> DataFrame:
                 [F.col("eff_date").desc_nulls_last(), F.col("item_status"), rest])
 
 
+# --- tables that hold all a key has to say ------------------------------------------------
+
+def document_table(t: Mapping[str, DataFrame], hot: Hot | None = None) -> DataFrame:
+    """User, tariff material and first customer of each document, from three tables at once.
+
+    Their rows are united and reduced per document, so one shuffle of the ledger serves all,
+    and a document with many lines sends one row per task.
+    """
+    lines = first_customer_lines(t["document_lines"])
+    parts = [t["document_headers"].select(*DOCUMENT, F.struct("usnam").alias("header")),
+             lines.select(*DOCUMENT, F.struct("buzei", "kunnr").alias("first")),
+             tariff_lines(t["document_lines"], t["billing_lines"], hot)]
+    rows = parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+    found = rows.groupBy(*DOCUMENT).agg(
+        F.min("header").alias("header"), F.min("first").alias("first"),
+        F.max("tariff_material").alias("tariff_material"))
+    return found.select(*DOCUMENT, F.col("header.usnam").alias("usnam"),
+                        F.col("header").isNotNull().alias("has_header"),
+                        F.col("first.kunnr").alias("first_customer"), "tariff_material")
+
+
+def center_table(fence: DataFrame, units: DataFrame) -> DataFrame:
+    """Per profit centre its dated changes in order, and its own business unit.
+
+    The list is as long as a centre has different dates.
+    """
+    changes = (fence.where(F.col("eff_date").isNotNull())
+               .groupBy(F.col("prctr").alias("profit_center_id"), "eff_date")
+               .agg(F.min(F.struct(F.col("ztedprc").alias("ted"))).alias("to"))
+               .groupBy("profit_center_id")
+               .agg(F.sort_array(F.collect_list(F.struct("eff_date", "to.ted"))).alias("changes")))
+    own = units.withColumnsRenamed({c: f"own_{c}" for c in units.columns if c != "profit_center_id"})
+    return changes.join(own, "profit_center_id", "full_outer")
+
+
+def rule_table(rules: DataFrame, units: DataFrame) -> DataFrame:
+    """The replacing profit centre of each rule key, and the business unit of that centre."""
+    rules = rules.select(
+        F.col("ORGANIZATION_ID").alias("bukrs"),
+        F.col("INDUSTRY_BUSINESS_CDE").alias("industry_business_code"),
+        F.col("COMPETENCY_BUSINESS_CDE").alias("business_code"),
+        F.col("SAP_PROFIT_CENTER_CDE").alias("rule_center"))
+    return lookup_join(top1(rules, RULE_KEY, [F.col("rule_center")]),
+                       units.withColumnsRenamed({c: f"rule_{c}" for c in units.columns})
+                       .withColumnRenamed("rule_profit_center_id", "rule_center"), ["rule_center"])
+
+
+def company_table(t: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
+    facts = company_facts(t["companies"], t["currency_decimals"], t["budget_rates"], as_of)
+    known = top1(t["company_dim"].where("record_active_indicator = 'Y'")
+                 .select(F.col("company_code").alias("bukrs"), "company_dsg_id"),
+                 ["bukrs"], [F.col("company_dsg_id")])
+    return facts.join(known, "bukrs", "full_outer")
+
+
+def with_lines_and_breakdown(items: DataFrame, document_lines: DataFrame, breakdown_lines: DataFrame,
+                             hot: Hot | None = None) -> DataFrame:
+    """Document line and breakdown of each item, both found in one shuffle on the item.
+
+    The breakdown matches the item number as it stands, the line without leading zeros; the
+    former is a condition on top of the latter.  A hot item is cut into parts by ``fan_out``.
+    """
+    if hot:
+        return with_breakdown(with_document_lines(items, document_lines), breakdown_lines, hot)
+    number = strip_zeros(F.col("buzei"))
+    key = [*DOCUMENT, "item_no"]
+    lines = document_lines.select(*DOCUMENT, number.alias("item_no"), "kidno", "rebzg",
+                                  F.col("prctr").alias("line_center"))
+    lines = top1(lines, key, [F.col(c) for c in ("kidno", "rebzg", "line_center")])
+    parts = breakdown_lines.select(
+        *DOCUMENT, number.alias("item_no"), F.col("buzei").alias("part_item"), "auzei",
+        F.col("dmbtr").alias("part_amount"), F.col("shkzg").alias("part_sign"),
+        F.col("prctr").alias("part_center"))
+    parts = top1(parts, [*key, "part_item", "auzei"],
+                 [F.col("part_center"), F.col("part_sign"), F.col("part_amount")])
+    items = lookup_join(items.withColumn("item_no", number), lines, key, spread=False)
+    items = lookup_join(items, parts, key, within="not (buzei <> part_item)", spread=False)
+    return items.drop("item_no", "part_item")
+
+
+def with_center(items: DataFrame, centers: DataFrame, hot: Hot | None = None,
+                ids: Sequence[str] | None = None) -> DataFrame:
+    """Profit centre in force on the posting date, and the unit of the item's own centre."""
+    items = lookup_join(items, centers, ["profit_center_id"], hot=hot, ids=ids)
+    newest = F.try_element_at(F.filter("changes", lambda c: c["eff_date"] <= F.col("budat")), F.lit(-1))
+    return items.withColumn("change", newest).withColumns({
+        "eff_date": F.col("change.eff_date"),
+        "ted_profit_center_id": F.col("change.ted")}).drop("change", "changes")
+
+
 def invoice_base(tables: Mapping[str, DataFrame], as_of: dt.date,
                  hot: Mapping[str, Hot] = {}) -> DataFrame:
-    """All enriched columns, the traceability ones among them."""
+    """All enriched columns, the traceability ones among them.
+
+    Lookups are grouped by key: what several tables know of one key is put together before the
+    ledger is joined, so that the ledger is shuffled once per key, twelve times at most.  Items
+    are made unique in the shuffle of the document; the customer, whose many columns no other
+    step reads, comes last.
+    """
     t = require_tables(tables)
+    ids = [*ITEM, "kunnr", "auzei"]
     items = ledger_items(t["open_items"], t["cleared_items"])
-    items = with_document_lines(items, t["document_lines"])
-    items = with_breakdown(items, t["breakdown_lines"], hot.get("breakdown"))
+    items = with_lines_and_breakdown(items, t["document_lines"], t["breakdown_lines"],
+                                     hot.get("breakdown"))
     items = items.withColumn("profit_center_id", F.coalesce("part_center", "line_center"))
-    items = one_per_item(with_fence(items, t["profit_center_fence"], hot.get("center")))
-
-    headers = top1(t["document_headers"].select(
-        *DOCUMENT, "usnam", F.lit(True).alias("has_header")), DOCUMENT, [F.col("usnam")])
-    document_hot = hot.get("document")
-    for table in (headers, tariff_documents(t["document_lines"], t["billing_lines"]),
-                  first_customer(t["document_lines"])):
-        items = lookup_join(items, table, DOCUMENT, hot=document_hot, spread=False)
+    units = profit_center_units(t["profit_centers"], t["business_units"])
+    items = with_center(items, center_table(t["profit_center_fence"], units), hot.get("center"), ids)
+    items = lookup_join(items, document_table(t, hot.get("line_reference")), DOCUMENT,
+                        hot=hot.get("document"), spread=False, ids=ids)
+    items = one_per_item(items)
 
     codes = business_codes(t["billing_lines"], t["materials"], t["products"], hot.get("material"))
     items = lookup_join(items, billing_documents(t["billing_headers"], t["price_conditions"],
-                                                 codes), ["kidno"], hot=hot.get("reference"))
-    items = with_sold_to(with_flow_customers(items, t["document_flow"], t["order_headers"], hot))
-    items = resolve_customer_key(items, t["customers_current"], hot)
-    items = enrich_hierarchy(items, t["customers_current"])
+                                                 codes), ["kidno"], hot=hot.get("reference"), ids=ids)
+    flow = flow_table(t["document_flow"], t["order_headers"], hot.get("order"))
+    items = with_sold_to(with_flow(items, flow, hot.get("billing"), ids))
 
     items = items.withColumns({
         "plain_account": strip_zeros_regex(F.col("kunnr")),
         "rate_day": rate_day(F.col("augdt"), F.col("budat"))})
     items = lookup_join(items, customer_facts(t["customers"]), ["plain_account", "bukrs"],
-                        hot=hot.get("plain_account"))
-    company_hot = hot.get("company")
-    items = lookup_join(items, company_facts(t["companies"], t["currency_decimals"],
-                                             t["budget_rates"], as_of), ["bukrs"], hot=company_hot)
-    items = lookup_join(items, top1(
-        t["company_dim"].where("record_active_indicator = 'Y'")
-        .select(F.col("company_code").alias("bukrs"), "company_dsg_id"),
-        ["bukrs"], [F.col("company_dsg_id")]), ["bukrs"], hot=company_hot)
-    items = lookup_join(items, payment_terms(t["payment_terms"]), ["zterm"], hot=hot.get("terms"))
-    items = lookup_join(items, dated_rates(t["dated_rates"]), ["rate_day", "company_currency"])
-    return with_business_unit(items, t)
+                        hot=hot.get("plain_account"), ids=ids)
+    items = lookup_join(items, company_table(t, as_of), ["bukrs"], hot=hot.get("company"), ids=ids)
+    items = lookup_join(items, payment_terms(t["payment_terms"]), ["zterm"], hot=hot.get("terms"),
+                        ids=ids)
+    items = lookup_join(items, dated_rates(t["dated_rates"]), ["rate_day", "company_currency"], ids=ids)
+    items = with_final_unit(lookup_join(items, rule_table(t["profit_center_rules"], units), RULE_KEY,
+                                        ids=ids))
+    return with_customer(items, account_table(t["customers_current"]), hot.get("account"), ids)
+
+
+def with_final_unit(items: DataFrame) -> DataFrame:
+    """Override the profit centre by rule; its unit is that of the rule's centre or the own one."""
+    final = profit_center_override(F.col("business_code"), F.col("own_business_unit_id"),
+                                   F.col("profit_center_id"), F.col("rule_center"))
+    items = items.withColumn("final_profit_center_id", final)
+    center = F.col("final_profit_center_id")
+    return items.withColumns({
+        f"final_{c}": F.when(center == F.col("rule_center"), F.col(f"rule_{c}"))
+        .when(center.isNotNull(), F.col(f"own_{c}"))
+        for c in ("business_unit_id", "business_unit_dsg_id", "business_unit_group_id")})
 
 
 def with_business_unit(items: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
@@ -289,8 +400,7 @@ def with_business_unit(items: DataFrame, t: Mapping[str, DataFrame]) -> DataFram
         F.col("INDUSTRY_BUSINESS_CDE").alias("industry_business_code"),
         F.col("COMPETENCY_BUSINESS_CDE").alias("business_code"),
         F.col("SAP_PROFIT_CENTER_CDE").alias("rule_center"))
-    rule_key = ["bukrs", "industry_business_code", "business_code"]
-    items = lookup_join(items, top1(rules, rule_key, [F.col("rule_center")]), rule_key)
+    items = lookup_join(items, top1(rules, RULE_KEY, [F.col("rule_center")]), RULE_KEY)
 
     units = profit_center_units(t["profit_centers"], t["business_units"])
     own, final = ({c: f"{role}_{c}" for c in units.columns} for role in ("own", "final"))

@@ -6,7 +6,7 @@ order of a billing document is a property of the document, not of each item that
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,11 +37,14 @@ TIER_NONE = "UNRESOLVED"
 DOCUMENT = ["bukrs", "belnr", "gjahr"]
 
 
+def first_customer_lines(document_lines: DataFrame) -> DataFrame:
+    return document_lines.where((F.col("koart") == "D") & not_blank(F.col("kunnr"))
+                                & (F.col("bukrs") == MERGED_COMPANY))
+
+
 def first_customer(document_lines: DataFrame) -> DataFrame:
     """Customer of the first customer line of each document of the merged company."""
-    lines = document_lines.where((F.col("koart") == "D") & not_blank(F.col("kunnr"))
-                                 & (F.col("bukrs") == MERGED_COMPANY))
-    return top1(lines, DOCUMENT, [F.col("buzei"), F.col("kunnr")]).select(
+    return top1(first_customer_lines(document_lines), DOCUMENT, [F.col("buzei"), F.col("kunnr")]).select(
         *DOCUMENT, F.col("kunnr").alias("first_customer"))
 
 
@@ -101,6 +104,71 @@ def with_flow_customers(items: DataFrame, flow: DataFrame, order_headers: DataFr
     return items.select(*columns, "direct_customer", "delivery_customer")
 
 
+def flow_table(flow: DataFrame, order_headers: DataFrame, hot: Hot | None = None) -> DataFrame:
+    """Per billing document the customers both ways of the flow lead to.
+
+    The direct way gives one per company the orders were booked in, kept as a map.
+    """
+    direct = direct_orders(flow, order_headers, hot).where(F.col("flow_company").isNotNull())
+    direct = direct.select("vbeln", F.struct("flow_company", "direct_customer").alias("direct"))
+    rows = direct.unionByName(delivery_orders(flow, order_headers, hot), True)
+    return rows.groupBy(F.col("vbeln").alias("flow_id")).agg(
+        F.map_from_entries(F.collect_list("direct")).alias("direct"),
+        F.max("delivery_customer").alias("delivery_customer"))
+
+
+def with_flow(items: DataFrame, flow: DataFrame, hot: Hot | None = None,
+              ids: Sequence[str] | None = None) -> DataFrame:
+    """Add ``direct_customer`` and ``delivery_customer`` from ``flow_table`` in one lookup."""
+    items = items.withColumn("flow_id", F.when(not_blank(F.col("vbeln")), F.col("vbeln")))
+    items = lookup_join(items, flow, ["flow_id"], hot=hot, ids=ids)
+    company = flow_company(F.col("bukrs"))
+    return items.withColumn("direct_customer", F.try_element_at("direct", company)).drop(
+        "direct", "flow_id")
+
+
+def account_table(customers: DataFrame) -> DataFrame:
+    """Per account its customer in each company as a map, and the first one of all.
+
+    The hierarchy of a customer key is joined here, to the dimension, and so travels with
+    the key.  The map has at most one entry per company.
+    """
+    named = customers.select("customer_key_id", *[F.col(old).alias(new)
+                                                  for old, new in HIERARCHY.items()])
+    levels = [F.col(c) for c in HIERARCHY.values()]
+    unique = top1(named, ["customer_key_id"], levels)
+    own, _ = customer_tables(customers)
+    own = lookup_join(own, unique, ["customer_key_id"])
+    who = F.struct("customer_key_id", *HIERARCHY.values()).alias("customer")
+    first = customers.where("source_system_id = 1").groupBy(
+        F.col("submitted_customer_account_number").alias("account")).agg(
+            F.min(F.struct("customer_company_code", "distribution_channel_code",
+                           "customer_key_id")).alias("first"))
+    in_company = own.where(F.col("company").isNotNull()).groupBy("account").agg(
+        F.map_from_entries(F.collect_list(F.struct("company", who))).alias("by_company"))
+    first = lookup_join(first.select("account", "first.customer_key_id"), unique, ["customer_key_id"])
+    return first.select("account", who.alias("anywhere")).join(in_company, "account", "left")
+
+
+def with_customer(items: DataFrame, accounts: DataFrame, hot: Hot | None = None,
+                  ids: Sequence[str] | None = None) -> DataFrame:
+    """Customer key, the tier that found it and the hierarchy columns, in one lookup.
+
+    The tiers are those of ``resolve_customer_key``.
+    """
+    items = items.withColumn("account", F.col("sold_to_customer_number"))
+    items = lookup_join(items, accounts, ["account"], hot=hot, ids=ids)
+    parent = F.when(F.col("bukrs") == MERGED_COMPANY, F.lit(PARENT_COMPANY))
+    tiers = [(TIER_OWN, F.try_element_at("by_company", F.col("bukrs"))),
+             (TIER_PARENT, F.try_element_at("by_company", parent)), (TIER_ANY, F.col("anywhere"))]
+    offers = [F.when(c["customer_key_id"].isNotNull(), c) for _, c in tiers]
+    tier = F.coalesce(*[F.when(o.isNotNull(), name) for o, (name, _) in zip(offers, tiers)],
+                      F.lit(TIER_NONE))
+    items = items.withColumns({"customer": F.coalesce(*offers), "customer_key_resolution_tier": tier})
+    return items.withColumns({c: F.col(f"customer.{c}") for c in ("customer_key_id", *HIERARCHY.values())}
+                             ).drop("customer", "by_company", "anywhere", "account")
+
+
 def with_sold_to(items: DataFrame) -> DataFrame:
     """Choose the sold-to customer among the candidates, and say where it came from."""
     payer = blank_to_null(F.col("payer"))

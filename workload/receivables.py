@@ -7,16 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from duebook import functions as fn
 from duebook.operators.aging import aging_as_of, aging_live
 from duebook.operators.lookups import lookup_join
-from duebook.operators.prorate import prorate
+from duebook.operators.prorate import apportion, group_totals, prorate, share
 from duebook.operators.skew import Hot, hot_keys
-from duebook.plans import invoice, sku, sold_to
+from duebook.plans import delta, invoice, sku, sold_to
 from duebook.schemas import INVOICE_COLUMNS
+from duebook.sources import tables
 from duebook.sources.ledger import ledger_items
 
 from . import oracles
 from .frames import AS_OF, Frames
 from .oracles import DAY
-from .registry import query
+from .registry import database, query
 
 col, lit = F.col, F.lit
 
@@ -299,6 +300,44 @@ def invoice_traceability(f: Frames) -> DataFrame:
         "customer_key_resolution_tier", "customer_key_id")
 
 
+SPLIT_ROWS = 100     # so that many keys of these tables count as hot
+
+
+@query("invoice_fact_split", *oracles.INVOICE_FRAMES, sql=f"""
+    with {oracles.INVOICE} {oracles.text_dates('invoice', oracles.INVOICE_DATES)}""")
+def invoice_fact_split(f: Frames) -> DataFrame:
+    """The same rows with all the ways for hot keys in use."""
+    return invoice.invoice_fact(invoice_tables(f), AS_OF, hot_rows=SPLIT_ROWS)
+
+
+@query("invoice_delta", *oracles.INVOICE_FRAMES, sql=f"""
+    with {oracles.INVOICE} {oracles.text_dates('invoice', oracles.INVOICE_DATES)}""")
+def invoice_delta(f: Frames) -> DataFrame:
+    """A fact that was made before some headers, rates and customers changed, and some cleared
+    items arrived, brought up to date by the documents these can reach."""
+    now = invoice_tables(f)
+    edits = {
+        "document_headers": ("usnam = 'U3'", {"usnam": lit("U99")}),
+        "dated_rates": ("month(reference_date) = 2 and from_currency = 'KWD'",
+                        {"exchange_rate": lit(7).cast("decimal(18,4)")}),
+        "customers_current": ("customer_key_id % 17 = 3", {"sales_office_label": lit("old office")})}
+    then, changes = dict(now), {}
+    for name, (which, values) in edits.items():
+        changed = F.coalesce(F.expr(which), lit(False))
+        then[name] = now[name].withColumns({
+            c: F.when(changed, v).otherwise(col(c)) for c, v in values.items()})
+        new = now[name].where(changed)
+        changes[name] = new.unionByName(new.withColumns(values))
+    arrived = col("belnr").endswith("7")
+    then["cleared_items"] = now["cleared_items"].where(~arrived)
+    changes["cleared_items"] = now["cleared_items"].where(arrived)
+    table = f"{database(f.spark)}.invoice"
+    tables.full_load(invoice.invoice_fact(then, AS_OF, split_hot_keys=False), table)
+    before = f.spark.table(table)
+    rows, documents = delta.delta_fact(now, changes, before, AS_OF)
+    return delta.merged_fact(before, rows, documents)
+
+
 # --- aging --------------------------------------------------------------------------------
 
 BUCKETS = ["open_amount", "disputed_amount", "current_amount", "past_amount", "cleared_amount"]
@@ -397,6 +436,34 @@ def prorated_null_single(f: Frames) -> DataFrame:
     return _prorate(f, True)
 
 
+_EXACT_ORDER = ["posnr", "matnr", "kzwi1"]
+
+
+@query("prorate_exact", "billing_lines", "orders", sql=f"""
+    with {PRORATE.format(single='1.0 / lines').replace('b.matnr,', 'b.matnr, b.kzwi1,')},
+    scaled as (select *, amount * part * 1000.0 exact, cast(round(amount * 1000.0) as bigint) units from parts),
+    floors as (select *, cast(floor(exact) as bigint) base, floor((exact - floor(exact)) * 1048576.0) steps
+               from scaled),
+    placed as (
+        select *, units - sum(base) over (partition by vbeln) missing, count(*) over (partition by vbeln) n,
+               row_number() over (partition by vbeln order by steps desc,
+                   substr(md5(concat_ws('|', posnr, matnr, kzwi1::varchar)), 1, 8), posnr, matnr, kzwi1) place
+        from floors)
+    select vbeln, posnr, matnr, gross, cast((base + floor(missing / n)
+           + if(place <= missing - floor(missing / n) * n, 1, 0)) as double) / 1000 exact_amount from placed""")
+def prorate_exact(f: Frames) -> DataFrame:
+    """Parts in whole units that sum to the amount of each document."""
+    orders = f["orders"].select(F.lpad(col("o_orderkey").cast("string"), 10, "0").alias("vbeln"),
+                                col("o_totalprice").alias("amount"))
+    lines = f["billing_lines"].where(fn.not_blank(col("matnr"))).join(orders, "vbeln")
+    totals = group_totals(lines, "vbeln", "netwr", "posnr")
+    hot = hot_keys(lines, {"d": ["vbeln"]})["d"]
+    rows = lookup_join(lines, totals, ["vbeln"], hot=hot).withColumn(
+        "part", share(col("netwr"), col("total"), col("lines")))
+    exact = apportion(rows, ["vbeln"], "amount", "part", _EXACT_ORDER, "exact_amount", hot=hot)
+    return exact.select("vbeln", "posnr", "matnr", col("kzwi1").alias("gross"), "exact_amount")
+
+
 @query("material_enrich", "billing_lines", "materials_current", sql="""
     with described as (
         select *, ltrim(material_number, '0') plain from materials_current where source_system_id = 1
@@ -417,13 +484,13 @@ def material_enrich(f: Frames) -> DataFrame:
 
 
 def material_fact(f: Frames, lines: DataFrame | None = None) -> DataFrame:
-    tables = invoice_tables(f)
+    sources = invoice_tables(f)
     if lines is not None:
-        tables["billing_lines"] = lines
-    hot = invoice.find_hot(tables)
-    base = invoice.invoice_base(tables, AS_OF, hot)
-    facts = invoice.invoice_columns(base, tables["security_tags"]).select(*INVOICE_COLUMNS)
-    return sku.sku_fact(facts, tables["billing_lines"], f["materials_current"], AS_OF,
+        sources["billing_lines"] = lines
+    hot = invoice.find_hot(sources)
+    base = invoice.invoice_base(sources, AS_OF, hot)
+    facts = invoice.invoice_columns(base, sources["security_tags"]).select(*INVOICE_COLUMNS)
+    return sku.sku_fact(facts, sources["billing_lines"], f["materials_current"], AS_OF,
                         hot_items=hot.get("billing", Hot(0, {})))
 
 
@@ -433,6 +500,9 @@ def sku_fact(f: Frames) -> DataFrame:
     return material_fact(f)
 
 
+SPLIT_ITEMS = 4      # a document of more lines is cut into parts
+
+
 @query("sku_keep_unmatched", *oracles.SKU_FRAMES, sql=f"""
     with {oracles.SKU}
     select accounting_document_id, accounting_document_item_id, accounting_document_breakdown_item_id,
@@ -445,8 +515,9 @@ def sku_fact(f: Frames) -> DataFrame:
         where l.billing_document_id = i.accounting_document_item_invoice_document_id)""")
 def sku_keep_unmatched(f: Frames) -> DataFrame:
     facts = invoice.invoice_fact(invoice_tables(f), AS_OF, split_hot_keys=False)
+    hot = hot_keys(items(f), {"billing": ["vbeln"]}, SPLIT_ITEMS)["billing"]
     rows = sku.sku_fact(facts, f["billing_lines"], f["materials_current"], AS_OF,
-                        keep_unmatched=True, split_hot_keys=False)
+                        keep_unmatched=True, hot_items=hot, hot_rows=SPLIT_ITEMS)
     return rows.select("accounting_document_id", "accounting_document_item_id",
                        "accounting_document_breakdown_item_id", "billing_document_item_id",
                        "raw_material_number", "material_actual_rate_functional_amount")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from duebook.session import shared_folder
+
 from .frames import RAW, Frames, duckdb_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +46,10 @@ def query(key: str, *frames: str, sql: str | None = None):
             ORACLES[key] = text
         return fn
     return register
+
+
+def database(spark: SparkSession) -> str:
+    """A new catalog database in the shared folder."""
+    name = f"duebook_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}'")
+    return name

@@ -112,20 +112,41 @@ _apply("fn_to_date", "orders", "cast(cast(o_orderdate as date) as varchar)",
        lambda: F.to_date("o_orderdate"), ("o_orderkey",))
 
 
-@query("fn_array_ids", "customers", sql="""
-    select customer_account_number, customer_company_legacy_format_account_number_rank acct_rank,
-           array_to_string([coalesce(customer_owning_business_unit_dsg_id, 0),
+# The fifth id, of the business unit, is that of the account's company here.
+_FIVE = """[coalesce(customer_owning_business_unit_dsg_id, 0),
              coalesce(sales_territory_owning_business_unit_dsg_id, 0),
-             coalesce(gam_global_business_unit_owning_business_unit_dsg_id, 0)], ',') ids
-    from customers""")
-def array_of_ids(f: Frames) -> DataFrame:
-    ids = F.array(*[F.coalesce(col(c), lit(0)) for c in (
+             coalesce(gam_global_business_unit_owning_business_unit_dsg_id, 0),
+             coalesce(company_dsg_id, 0), coalesce(business_unit_dsg_id, 0)]"""
+_OWNED = f"""owned as (
+        select c.*, company_dsg_id, business_unit_dsg_id from customers c
+        left join company_dim on company_code = customer_company_code and company_dim.record_active_indicator = 'Y'
+        left join profit_centers p on p.profit_center_id = industry_business_code
+        left join business_units using (business_unit_id))"""
+
+
+def _owned(f: Frames) -> tuple[DataFrame, list]:
+    """Customers with the ids of all five owning units, null where there is none."""
+    companies = f["company_dim"].where("record_active_indicator = 'Y'").select(
+        col("company_code").alias("customer_company_code"), "company_dsg_id")
+    units = f["profit_centers"].join(f["business_units"], "business_unit_id").select(
+        col("profit_center_id").alias("industry_business_code"), "business_unit_dsg_id")
+    rows = f["customers"].join(companies, "customer_company_code", "left").join(
+        units, "industry_business_code", "left")
+    return rows, [col(c) for c in (
         "customer_owning_business_unit_dsg_id", "sales_territory_owning_business_unit_dsg_id",
-        "gam_global_business_unit_owning_business_unit_dsg_id")])
-    return f["customers"].select(
+        "gam_global_business_unit_owning_business_unit_dsg_id", "company_dsg_id", "business_unit_dsg_id")]
+
+
+@query("fn_array_ids", "customers", "company_dim", "profit_centers", "business_units", sql=f"""
+    with {_OWNED}
+    select customer_account_number, customer_company_legacy_format_account_number_rank acct_rank,
+           array_to_string({_FIVE}, ',') ids from owned""")
+def array_of_ids(f: Frames) -> DataFrame:
+    rows, ids = _owned(f)
+    return rows.select(
         "customer_account_number",
         col("customer_company_legacy_format_account_number_rank").alias("acct_rank"),
-        F.concat_ws(",", ids.cast("array<string>")).alias("ids"))
+        F.concat_ws(",", F.array(*[F.coalesce(c, lit(0)) for c in ids]).cast("array<string>")).alias("ids"))
 
 
 _apply("fn_mixed_compare", "items", "coalesce(breakdown, 1) = 1",
@@ -165,20 +186,20 @@ def convert_currency(f: Frames) -> DataFrame:
             .select("k", value.alias("value")))
 
 
-@query("udf_security_tag", "customers", "security_tags", sql="""
-    with keyed as (
+@query("udf_security_tag", "customers", "company_dim", "profit_centers", "business_units",
+       "security_tags", sql=f"""
+    with {_OWNED},
+    keyed as (
         select customer_account_number acct, customer_company_legacy_format_account_number_rank acct_rank,
-               array_to_string(list_sort(list_distinct([
-                 coalesce(customer_owning_business_unit_dsg_id, 0),
-                 coalesce(sales_territory_owning_business_unit_dsg_id, 0)])), '-') security_key
-        from customers)
+               array_to_string(list_sort(list_distinct({_FIVE})), '-') security_key
+        from owned)
     select acct, acct_rank, security_key, coalesce(security_tag, 'NONE') security_tag
     from keyed left join security_tags using (security_key)""")
 def security_tag(f: Frames) -> DataFrame:
     from duebook.plans.invoice import with_security_tag
-    keyed = f["customers"].select(
+    rows, ids = _owned(f)
+    keyed = rows.select(
         col("customer_account_number").alias("acct"),
         col("customer_company_legacy_format_account_number_rank").alias("acct_rank"),
-        fn.security_key(col("customer_owning_business_unit_dsg_id"),
-                        col("sales_territory_owning_business_unit_dsg_id")).alias("security_key"))
+        fn.security_key(*ids).alias("security_key"))
     return with_security_tag(keyed, f["security_tags"], "NONE")
