@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duebook.functions import (convert_amount, currency_scale, due_date, not_empty,
                                parse_yyyymmdd, security_key, signed_amount, strip_zeros,
                                strip_zeros_regex, to_int)
-from duebook.functions.codes import flow_company
 from duebook.functions.dates import NO_DATE
 from duebook.operators.fanout import fan_out, hot_grid
 from duebook.operators.lookups import as_of_join, lookup_join, top1, valid_on
@@ -199,20 +199,20 @@ def actual_rate_amount(amount: Column, rate: Column, from_ratio: Column,
 def find_hot(tables: Mapping[str, DataFrame], hot_rows: int | None = None) -> dict[str, Hot]:
     """Hot keys of the joins below: one pass over the key columns of four tables."""
     kw = {} if hot_rows is None else {"hot_rows": hot_rows}
-    items = ledger_items(tables["open_items"], tables["cleared_items"]).withColumns({
-        "flow_company": flow_company(F.col("bukrs")),
-        "plain_account": strip_zeros_regex(F.col("kunnr"))})
-    hot = hot_keys(items, {
-        "document": DOCUMENT, "flow": ["vbeln", "flow_company"], "billing": ["vbeln"],
-        "account": ["kunnr"], "account_company": ["kunnr", "bukrs"],
-        "plain_account": ["plain_account", "bukrs"], "company": ["bukrs"], "terms": ["zterm"]},
-        **kw)
-    hot |= hot_keys(tables["document_lines"], {"reference": ["kidno"], "center": ["prctr"],
-                                               "line_reference": REFERENCE}, **kw)
-    hot |= hot_keys(tables["breakdown_lines"], {"breakdown": ITEM}, **kw)
-    hot |= hot_keys(tables["document_flow"], {"order": ["vbelv"]}, **kw)
-    hot |= hot_keys(tables["billing_lines"], {"material": ["matnr"]}, **kw)
-    return hot
+    items = ledger_items(tables["open_items"], tables["cleared_items"]).withColumn(
+        "plain_account", strip_zeros_regex(F.col("kunnr")))
+    wanted = [
+        (items, {"document": DOCUMENT, "billing": ["vbeln"], "account": ["kunnr"],
+                 "plain_account": ["plain_account", "bukrs"], "company": ["bukrs"], "terms": ["zterm"]}),
+        (tables["document_lines"], {"reference": ["kidno"], "center": ["prctr"],
+                                    "line_reference": REFERENCE}),
+        (tables["breakdown_lines"], {"breakdown": ITEM}),
+        (tables["document_flow"], {"order": ["vbelv"]}),
+        (tables["billing_lines"], {"material": ["matnr"]})]
+    # five small jobs that do not wait for each other
+    with ThreadPoolExecutor(len(wanted)) as pool:
+        found = pool.map(lambda w: hot_keys(*w, **kw), wanted)
+        return {name: hot for part in found for name, hot in part.items()}
 
 
 def with_document_lines(items: DataFrame, document_lines: DataFrame) -> DataFrame:
@@ -326,7 +326,9 @@ def with_lines_and_breakdown(items: DataFrame, document_lines: DataFrame, breakd
     parts = top1(parts, [*key, "part_item", "auzei"],
                  [F.col("part_center"), F.col("part_sign"), F.col("part_amount")])
     items = lookup_join(items.withColumn("item_no", number), lines, key, spread=False)
-    items = lookup_join(items, parts, key, within="not (buzei <> part_item)", spread=False)
+    # as two bounds: an equality would become part of the key and cost a shuffle of its own
+    same = "buzei <= part_item and part_item <= buzei"
+    items = lookup_join(items, parts, key, within=same, spread=False)
     return items.drop("item_no", "part_item")
 
 
