@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, WORD, staged, words
+from .common import SPACES, WORD, numbered, staged, words
 
 WINDOW = 5
-MAX_DOCUMENTS = 25        # different texts of one host that may share a line
+MAX_DOCUMENTS = 25        # documents of one host that may share a line
 MAX_REMOVED = 0.6         # share of a document's words that removed lines may take
 MIN_WORDS = 10
 MAX_REPEATED = 20         # percent of words in repeated windows
@@ -79,55 +79,57 @@ def normalised(line: Column) -> Column:
 
 
 def line_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-               max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED) -> DataFrame:
+               max_documents: int = MAX_DOCUMENTS, max_removed: float = MAX_REMOVED,
+               copies_count_once: bool = False) -> DataFrame:
     """Statistics, base verdict, the text without shared lines, its lost words, and the verdict.
 
-    A normalised line that more than ``max_documents`` different texts of one host hold is
+    A normalised line that more than ``max_documents`` different documents of one host hold is
     removed from all documents of that host.  A document is rejected (``kept`` false) if it
     fails the base rules or if removed lines held more than ``max_removed`` of its words or
-    left fewer than ten.  Equal texts count once, so copies do not condemn each other.
-    ``clean_text`` stands in place of ``text``, whatever the verdict: the other lines as they
-    are and in their order.
+    left fewer than ten.  With ``copies_count_once`` equal texts count as one document, so that
+    copies do not condemn each other.  ``clean_text`` stands in place of ``text``, whatever the
+    verdict: the other lines as they are and in their order.
 
     Null and empty texts have no words and fail; a null host is a host of its own.  The key
-    must be unique (rows of a repeated key share their removed words); rows with a null key are kept
-    as rows and lose no lines.  Columns of ``docs`` go through unless an added one has their name.
+    must be unique (rows of a repeated key are one document and share their removed words); rows
+    with a null key are documents of their text, kept as rows, and lose no lines.  Columns of
+    ``docs`` go through, whatever their names, unless an added one has their name.
     """
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
              "removed_words", "kept", "clean_text"]
-    lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: x.rlike(WORD))
-    hashed = docs.where(F.col(text).isNotNull()).select(
-        F.col(key).alias("__key"), F.col(host).alias("__host"),
-        F.xxhash64(text).alias("__text"),
+    rows, names = numbered(docs)
+    ident, body, place = F.col(names[key]), F.col(names[text]), F.col(names[host])
+    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD))
+    hashed = rows.where(body.isNotNull()).select(
+        ident.alias("key"), place.alias("host"), F.xxhash64(body).alias("same"),
         F.explode(F.transform(lines, lambda x: F.struct(
             F.xxhash64(normalised(x)).alias("h"),
             F.regexp_count(x, F.lit(WORD)).alias("n")))).alias("l"))
-    hashed = hashed.select("__key", "__text", F.xxhash64("__host", F.col("l.h")).alias("__line"),
-                           F.col("l.n").alias("__n"))
-    # (line, text) pairs are made unique before they are counted: a hot line is then one
+    document = F.col("same") if copies_count_once else F.when(
+        F.col("key").isNull(), F.xxhash64(F.lit("text"), "same")).otherwise(F.xxhash64("key"))
+    # the lines of all texts as numbers, computed once for the counts and for the removal
+    hashed = staged(hashed.select("key", document.alias("document"),
+                                  F.xxhash64("host", F.col("l.h")).alias("line"), F.col("l.n").alias("n")))
+    # (line, document) pairs are made unique before they are counted: a hot line is then one
     # partial count per task
-    shared = (hashed.select("__line", "__text").distinct().groupBy("__line").count()
-              .where(F.col("count") > max_documents).select(F.col("__line").alias("__shared")))
+    shared = (hashed.select("line", "document").distinct().groupBy("line").count()
+              .where(F.col("count") > max_documents).select(F.col("line").alias("shared")))
     shared = staged(shared)
-    removed = (hashed.where("__key is not null")
-               .groupBy("__key", "__line").agg(F.sum("__n").alias("__n"))
-               .join(shared, F.col("__line") == F.col("__shared"))
-               .groupBy("__key").agg(F.sum("__n").alias("removed_words"),
-                                     F.collect_list("__line").alias("__gone"))
-               .withColumnRenamed("__key", "__removed"))
-    held = docs.withColumn("__host", F.col(host))
-    rows = line_statistics(held.drop(*[c for c in added if c in docs.columns and c not in (key, text)]),
-                           text)
-    rows = rows.join(removed, F.col(key) == F.col("__removed"), "left").drop("__removed")
+    removed = (hashed.where("key is not null")
+               .groupBy("key", "line").agg(F.sum("n").alias("n"))
+               .join(shared, F.col("line") == F.col("shared"))
+               .groupBy("key").agg(F.sum("n").alias("removed_words"),
+                                   F.collect_list("line").alias("gone")))
+    rows = line_statistics(rows, names[text]).join(removed, ident == F.col("key"), "left").drop("key")
     lost = F.coalesce(F.col("removed_words"), F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     depleted = (lost > F.col("n_words") * F.lit(max_removed)) | (F.col("n_words") - lost < MIN_WORDS)
     # the lines of a text are told by their hashes, so no text leaves its row
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~x.rlike(WORD) | ~F.array_contains(
-        F.col("__gone"), F.xxhash64(F.col("__host"), F.xxhash64(normalised(x)))))
-    cleaned = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    left = F.filter(F.split(body, "\n", -1), lambda x: ~x.rlike(WORD) | ~F.array_contains(
+        F.col("gone"), F.xxhash64(place, F.xxhash64(normalised(x)))))
+    cleaned = F.when(F.col("gone").isNull(), body).otherwise(F.array_join(left, "\n"))
     rows = rows.withColumns({"removed_words": lost.cast("long"), "base_failed": failed,
-                             "__clean": cleaned, "__kept": ~failed & ~depleted})
-    rows = rows.drop(*[c for c in (text,) if c != key], "__gone", "__host")
-    return rows.withColumnsRenamed({"__kept": "kept", "__clean": "clean_text"})
+                             "clean_text": cleaned, "kept": ~failed & ~depleted})
+    through = [F.col(n).alias(c) for c, n in names.items() if c not in added and (c != text or c == key)]
+    return rows.select(*through, *added)

@@ -21,7 +21,7 @@ from .quality import quality_scores
 from .sentencepieces import encode
 from .topk import LARGEST, top_k
 from .toxicity import toxicity
-from .url_filter import RULES, host_of, url_filter
+from .url_filter import PREFIXES, RULES, TRACKING, canonical, host_of, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -38,12 +38,6 @@ def query(key: str, sql: str | None = None):
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-#: Hosts whose pages make up the list of unwanted URLs of the registered query.
-LISTED_HOSTS = ("ads-track.example.com", "adult-x.example.com", "casino-win.example.net",
-                "cheap-pills.example.net", "cheap-pills.example.com", "free-bets.example.net",
-                "spam-farm.example.org")
-
-
 @query("op5_line_rules", sql=rf"""
     with words as (
         select doc_id, source, coalesce(text, '') body, {WORDS} w from documents),
@@ -55,35 +49,44 @@ LISTED_HOSTS = ("ads-track.example.com", "adult-x.example.com", "casino-win.exam
         select doc_id, count(distinct i + o) n from windows, range(0, 5) t(o)
         where times > 1 group by 1),
     lines as (
-        select doc_id, source, body, unnest(string_split(body, chr(10))) line from words),
+        select doc_id, source, unnest(string_split(body, chr(10))) line,
+               generate_subscripts(string_split(body, chr(10)), 1) place from words),
     worded as (
-        select doc_id, source, body, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) n,
+        select doc_id, source, line, place, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) n,
                regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')),
                               '[0-9]+', '0', 'g') norm
         from lines where regexp_matches(line, '[^\x20\x09-\x0D]')),
     shared as (
-        select source, norm from worded group by 1, 2 having count(distinct body) > {MAX_DOCUMENTS}),
+        select source, norm from worded group by 1, 2 having count(distinct doc_id) > {MAX_DOCUMENTS}),
     per_doc as (
         select doc_id, count(*) - count(distinct line) dup from worded group by 1),
-    lost as (
-        select doc_id, sum(n) gone from worded join shared using (norm)
-        where worded.source is not distinct from shared.source group by 1),
+    taken as (
+        select doc_id, place, n from worded join shared using (norm)
+        where worded.source is not distinct from shared.source),
+    lost as (select doc_id, sum(n) gone from taken group by 1),
+    cleaned as (
+        select doc_id, string_agg(line, chr(10) order by place) filter (taken.doc_id is null) clean
+        from lines left join taken using (doc_id, place) group by 1),
     counted as (
         select doc_id, len(w) n_words, len(array_to_string(w, '')) word_chars,
                len(body) - len(regexp_replace(body, '[#*$%&|<>]', '', 'g')) n_symbols,
                coalesce(dup, 0) n_dup_lines, coalesce(covered.n, 0) n_repeat_words,
-               cast(coalesce(gone, 0) as bigint) removed_words
+               cast(coalesce(gone, 0) as bigint) removed_words, length(coalesce(clean, '')) clean_chars,
+               md5(coalesce(clean, '')) clean_md5
         from words left join per_doc using (doc_id) left join covered using (doc_id)
-             left join lost using (doc_id))
+             left join lost using (doc_id) left join cleaned using (doc_id))
     select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed,
            not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)
            and removed_words <= {MAX_REMOVED} * n_words and n_words - removed_words >= 10 kept
     from counted""")
 def op5_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """With the length and a hash of the text that is left."""
     docs = read(spark, folder, "documents").select("doc_id", "text", "source")
+    clean = F.coalesce("clean_text", F.lit(""))
     return line_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "removed_words", "base_failed", "kept")
+        "removed_words", "base_failed", "kept", F.length(clean).cast("long").alias("clean_chars"),
+        F.md5(clean.cast("binary")).alias("clean_md5"))
 
 
 def _ends(host: str, names) -> str:
@@ -99,29 +102,33 @@ _ORDERED = sorted(RULES, key=lambda r: -len(r.text))
 
 @query("op9_url_filter", sql=rf"""
     with parts as (
-        select page_id, coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)', 1), '') raw,
+        select page_id, url, coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)', 1), '') raw,
                coalesce(regexp_extract(url, '^(?s).*?://[^/?#]*([^?#]*)', 1), '') path from pages),
     named as (
-        select page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                        'abcdefghijklmnopqrstuvwxyz') host from parts),
-    ruled as (
-        select page_id, host, path,
-               case {' '.join(f"when {_fits(r)} then '{r.text}'" for r in _ORDERED)} end as rule,
-               {_ends('host', LISTED_HOSTS)} listed
-        from named)
-    select page_id, host, path, rule,
+        select *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host from parts),
+    asking as (
+        select *, list_sort(list_filter(string_split(regexp_extract(url, '(?s)\?([^#]*)', 1), '&'),
+                   lambda p: p <> '' and not regexp_matches(p, '^(?:{TRACKING})(?:=|$)'))) told from named),
+    plain as (
+        select *, case when host <> '' then concat(
+                regexp_replace(host, '^(?:{PREFIXES})\.', ''), regexp_replace(path, '(?:/|\.html)$', ''),
+                case when len(told) > 0 then '?' || array_to_string(told, '&') else '' end) end canonical,
+               case {' '.join(f"when {_fits(r)} then '{r.text}'" for r in _ORDERED)} end as rule
+        from asking),
+    list as (select distinct canonical from plain where starts_with(md5(canonical), '0')),
+    marked as (
+        select *, rule is null and coalesce(canonical in (select canonical from list), false) listed from plain)
+    select page_id, host, path, canonical, rule, listed,
            case {' '.join(f"when rule = '{r.text}' then '{r.verdict}'" for r in _ORDERED)}
                 when listed then 'block' else 'allow' end verdict
-    from ruled""")
+    from marked""")
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages judged by the rules, else by the list: the URLs of all pages of the listed hosts."""
+    """Pages judged by the rules, else by a list: one in sixteen of all canonical URLs, by their hash."""
     pages = read(spark, folder, "pages").select("page_id", "url")
-    host = host_of(F.col("url"))
-    on_list = F.lit(False)
-    for name in LISTED_HOSTS:
-        on_list = on_list | (host == name) | host.endswith(f".{name}")
-    listed = pages.where(on_list).select("url")
-    return url_filter(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict")
+    hashed = F.md5(canonical(F.col("url")).cast("binary"))
+    listed = pages.where(hashed.startswith("0")).select("url")
+    return url_filter(pages, listed, RULES).select(
+        "page_id", "host", "path", "canonical", "rule", "listed", "verdict")
 
 
 @query("op10_minhash", sql=r"""

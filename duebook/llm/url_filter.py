@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import lower_ascii, staged
+from .common import lower_ascii, numbered, staged
 
 BITS_PER_URL = 16        # 256-bit blocks hold 16 URLs on average: about one false hit in 1,000
 PROBES = 8               # bits set per URL
@@ -100,7 +100,8 @@ def blocked_bloom(keys: DataFrame, column: str, blocks: int) -> DataFrame:
 
 def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (), url: str = "url",
                list_url: str = "url", otherwise: str = "allow") -> DataFrame:
-    """Add host, path, canonical URL, the rule that fits, a listed mark and the verdict.
+    """Add host, path, canonical URL, the rule that fits, whether the filter let the page
+    through and whether the list has it, and the verdict.
 
     The verdict is the rule's; without a rule, ``block`` if the canonical URL is that of a
     row of ``listed``, else ``otherwise``.  A null URL or one without ``://`` has an empty
@@ -108,38 +109,36 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
     repeated list entries count once.  Columns of ``pages`` of the same names as the added
     ones are replaced; all others go through.  An empty list blocks nothing.
     """
-    keys = staged(listed.select(canonical(F.col(list_url)).alias("__listed"))
-                  .where("__listed is not null").distinct())
+    keys = staged(listed.select(canonical(F.col(list_url)).alias("on_list"))
+                  .where("on_list is not null").distinct())
     blocks = max(1, -(-keys.count() * BITS_PER_URL // 256))
-    bloom = staged(blocked_bloom(keys, "__listed", blocks))
-
-    added = ["host", "path", "canonical", "rule", "listed", "verdict"]
-    link = F.col(url)
-    rows = pages.withColumns({"__host": host_of(link), "__path": path_of(link),
-                              "__canonical": canonical(link)})
-    rule, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
-    rows = rows.withColumns({"__rule": rule, "__verdict": verdict})
+    bloom = staged(blocked_bloom(keys, "on_list", blocks))
+
+    added = ["host", "path", "canonical", "rule", "passed_filter", "listed", "verdict"]
+    rows, names = numbered(pages)
+    link = F.col(names[url])
+    rows = rows.withColumns({"host": host_of(link), "path": path_of(link), "canonical": canonical(link)})
+    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    rows = rows.withColumns({"rule": rule, "decided": verdict})
     # a page that a rule decides asks no list; it goes to a block of its own that is empty
-    asks = F.col("__verdict").isNull() & F.col("__canonical").isNotNull()
-    rows = rows.withColumn("__block", F.when(
-        asks, F.pmod(F.xxhash64("__canonical"), F.lit(blocks))).otherwise(
+    asks = F.col("decided").isNull() & F.col("canonical").isNotNull()
+    rows = rows.withColumn("asked", F.when(
+        asks, F.pmod(F.xxhash64("canonical"), F.lit(blocks))).otherwise(
         -1 - F.pmod(F.xxhash64(link), F.lit(1 << 20))))
-    rows = rows.withColumn("__bits", _bits(F.col("__canonical")))
-    rows = rows.join(bloom, F.col("__block") == F.col("block"), "left")
+    rows = rows.withColumn("bits", _bits(F.col("canonical")))
+    rows = rows.join(bloom, F.col("asked") == F.col("block"), "left")
     hit = F.lit(True)
     for w in range(4):
-        need = F.col("__bits")[w]
+        need = F.col("bits")[w]
         hit = hit & (F.col(f"w{w}").bitwiseAND(need) == need)
+    rows = rows.withColumn("passed_filter", F.coalesce(hit, F.lit(False)))
     # rows that the filter stops keep a key without a partner
-    rows = rows.withColumn("__key", F.when(F.coalesce(hit, F.lit(False)), F.col("__canonical"))
+    rows = rows.withColumn("wanted", F.when(F.col("passed_filter"), F.col("canonical"))
                            .otherwise(F.concat(F.lit("\t"), F.pmod(F.xxhash64(
-                               F.col(url), F.col("__canonical")), F.lit(1 << 20)).cast("string"))))
-    rows = rows.drop("block", "w0", "w1", "w2", "w3", "__bits", "__block")
-    rows = rows.join(keys, F.col("__key") == F.col("__listed"), "left")
-    is_listed = F.col("__listed").isNotNull()
-    return rows.select(
-        *[F.col(f"`{c}`") for c in pages.columns if c not in added],
-        F.col("__host").alias("host"), F.col("__path").alias("path"),
-        F.col("__canonical").alias("canonical"), F.col("__rule").alias("rule"),
-        is_listed.alias("listed"),
-        F.coalesce("__verdict", F.when(is_listed, "block").otherwise(otherwise)).alias("verdict"))
+                               link, F.col("canonical")), F.lit(1 << 20)).cast("string"))))
+    rows = rows.drop("block", "w0", "w1", "w2", "w3", "bits", "asked")
+    rows = rows.join(keys, F.col("wanted") == F.col("on_list"), "left")
+    is_listed = F.col("on_list").isNotNull()
+    rows = rows.withColumns({"listed": is_listed, "verdict": F.coalesce(
+        "decided", F.when(is_listed, "block").otherwise(otherwise))})
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items() if c not in added], *added)
