@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .lookups import SPREAD
 from .skew import HOT_ROWS, Hot, key_hash, require_comparable
 
 CELLS = 4096   # parts a whole table would be cut into
@@ -34,14 +36,25 @@ def _with_parts(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFram
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(1)) for c in ("__lp", "__rp")})
 
 
-def _place(df: DataFrame, keys: Sequence[str], grid: DataFrame, own: str, other: str) -> DataFrame:
-    """Put each row in one part of its own side and copy it to every part of the other."""
+def _spread(df: DataFrame, parts) -> Column:
+    """A part of a row, that follows from the row alone."""
     spot = F.xxhash64(*[f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")])
+    return F.pmod(spot, parts).cast("int")
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
+def _place(df: DataFrame, keys: Sequence[str], grid: DataFrame, own: str, other: str) -> DataFrame:
+    """Put each row in one part of its own side and copy it to every part of the other.
+
+    Rows without a key meet nothing, so they may lie in any part.
+    """
     every = F.sequence(F.lit(0), F.col(f"__{other}p") - 1)
-    return (_with_parts(df, keys, grid)
-            .withColumn(f"__{own}", F.pmod(spot, F.col(f"__{own}p")).cast("int"))
-            .withColumn(f"__{other}", F.explode(every))
-            .drop("__lp", "__rp"))
+    part = F.when(_has_key(keys), _spread(df, F.col(f"__{own}p"))).otherwise(_spread(df, F.lit(SPREAD)))
+    return (_with_parts(df, keys, grid).withColumn(f"__{own}", part)
+            .withColumn(f"__{other}", F.explode(every)).drop("__lp", "__rp"))
 
 
 def _everywhere(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFrame:
@@ -52,32 +65,51 @@ def _everywhere(df: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFram
     return df.drop("__lp", "__rp")
 
 
+def _unmatched_once(joined: DataFrame, right: DataFrame, keys: Sequence[str], grid: DataFrame) -> DataFrame:
+    """Of a left row's copies without a partner keep the first, if the key has no right row at all.
+
+    Only keys of the grid have several copies, so the right side is asked for those alone: a
+    list no longer than the grid.
+    """
+    there = (right.where(_has_key(keys)).select(*keys, key_hash(right, keys).alias("__hot"))
+             .join(F.broadcast(grid.select("__hot")), "__hot", "left_semi").drop("__hot").distinct())
+    there = there.withColumnsRenamed({k: f"__t_{k}" for k in keys}).withColumn("__there", F.lit(True))
+    match = reduce(Column.__and__, [F.col(k) == F.col(f"__t_{k}") for k in keys])
+    joined = joined.join(F.broadcast(there), match, "left").drop(*[f"__t_{k}" for k in keys])
+    first = (F.col("__r") == 0) & F.col("__there").isNull()
+    return joined.where(F.col("__met").isNotNull() | first).drop("__there")
+
+
 def fan_out(left: DataFrame, right: DataFrame, keys: Sequence[str], grid: DataFrame | None = None,
             per_key: Sequence[DataFrame] = (), keep_unmatched: bool = False) -> DataFrame:
     """All pairs with equal keys; unmatched left rows too with ``keep_unmatched``.
 
     ``grid`` (from ``hot_grid``) cuts a heavy key into left parts by right parts, so neither
     side's rows of it meet in one task.  ``per_key`` tables hold at most one row per key and
-    are joined on the same shuffle.
+    are joined on the same shuffle.  The left side is read once in every mode; its rows
+    without a key are spread over all tasks.
     """
     keys = list(keys)
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
-    lost = left.where(~has_key)
-    left = left.where(has_key)
-    cells, tables, how = keys, [left, right, *per_key], "left" if keep_unmatched else "inner"
+    if not keep_unmatched:
+        left = left.where(_has_key(keys))
     if grid is not None:
         for side in (right, *per_key):
             require_comparable(left, side, keys)
-        cells, how = [*keys, "__l", "__r"], "inner"
-        if keep_unmatched:
-            # a left row has a copy per right part, so only the row as a whole is unmatched
-            lost = lost.unionByName(left.join(right.select(keys).distinct(), keys, "left_anti"))
+        cells = [*keys, "__l", "__r"]
         tables = [_place(left, keys, grid, "l", "r"), _place(right, keys, grid, "r", "l"),
                   *[_everywhere(t, keys, grid) for t in per_key]]
-    result = tables[0].join(tables[1], cells, how)
+    elif keep_unmatched:
+        # the right side is all part 0, in a form that is not folded into a condition on the left
+        cells, zero = [*keys, "__l"], F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+        tables = [left.withColumn("__l", F.when(_has_key(keys), 0).otherwise(_spread(left, F.lit(SPREAD)) + 1)),
+                  *[t.withColumn("__l", zero) for t in (right, *per_key)]]
+    else:
+        cells, tables = keys, [left, right, *per_key]
+    if keep_unmatched and grid is not None:
+        tables[1] = tables[1].withColumn("__met", F.lit(True))
+    result = tables[0].join(tables[1], cells, "left" if keep_unmatched else "inner")
     for table in tables[2:]:
         result = result.join(table, cells, "left")
-    result = result.drop("__l", "__r")
-    return result.unionByName(lost, allowMissingColumns=True) if keep_unmatched else result
+    if keep_unmatched and grid is not None:
+        result = _unmatched_once(result, right, keys, grid)
+    return result.drop("__l", "__r", "__met")

@@ -35,14 +35,14 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], *,
     """Left join with a table that holds at most one match per left row.
 
     The caller sees to that (``top1``, ``group_totals``): a repeated right key repeats left
-    rows, as in any join; for a hot key it is an error.
+    rows, as in any join, whether it is hot or not.
 
     ``on`` are columns of both sides.  ``within`` is a further condition, such as a range,
     as SQL text; it may name left columns and the right ones that are not in ``on``.
 
     Rows whose key is in ``hot`` look their match up in a broadcast copy of just those keys'
     rows (at most one per hot key, or one per hot key and date under ``within``) and take no
-    part in the shuffle.  ``spread=False`` says that no left key is null.  ``ids`` are left
+    part in the shuffle; keys that the right side repeats stay in it.  ``spread=False`` says that no left key is null.  ``ids`` are left
     columns that tell rows apart, by default all; rows without a partner are dealt by them.
     """
     on, payload = list(on), [c for c in right.columns if c not in on]
@@ -91,8 +91,8 @@ def _with_hot_matches(left: DataFrame, right: DataFrame, on: list[str], payload:
                       within: str | None, hot: Hot) -> DataFrame:
     """Mark the rows of hot keys and join them to those keys' rows, as one struct.
 
-    Without ``within`` the broadcast holds one row per hot key, which is checked; with it,
-    one per hot key and date.
+    Without ``within`` the broadcast holds one row per hot key, and a key with several right
+    rows is not taken as hot; with it, one per hot key and date.
     """
     require_comparable(left, right, on)
     listed = [F.lit(n) for n in hot.counts]
@@ -100,17 +100,17 @@ def _with_hot_matches(left: DataFrame, right: DataFrame, on: list[str], payload:
     if within is None:
         few = few.groupBy(*on).agg(F.count("*").alias("__times"),
                                    *[F.any_value(c).alias(c) for c in payload])
-        few = few.where(F.expr("if(__times > 1, raise_error('a hot key has several rows in a lookup'), true)")
-                        ).drop("__times")
-    few = few.withColumnsRenamed({c: f"__f_{c}" for c in right.columns})
+    few = few.withColumnsRenamed({c: f"__f_{c}" for c in few.columns})
     match = " and ".join(f"`{c}` = `__f_{c}`" for c in on)
     if within is not None:
         match += f" and ({_renamed(within, {c: f'__f_{c}' for c in payload})})"
     struct = "named_struct(" + ", ".join(f"'{c}', `__f_{c}`" for c in payload) + ")"
     present = F.expr(" and ".join(f"`{c}` is not null" for c in on))
     is_hot = present & key_hash(left, on).isin(*listed)
-    return (left.withColumn("__hot", is_hot).join(F.broadcast(few), F.expr(match), "left")
-            .withColumn("__few", F.expr(struct)).drop(*[f"__f_{c}" for c in right.columns]))
+    joined = left.withColumn("__hot", is_hot).join(F.broadcast(few), F.expr(match), "left")
+    if within is None:
+        joined = joined.withColumn("__hot", F.col("__hot") & (F.coalesce("__f___times", F.lit(1)) == 1))
+    return joined.withColumn("__few", F.expr(struct)).drop(*few.columns)
 
 
 def intervals(df: DataFrame, keys: Sequence[str], start: str, until: str) -> DataFrame:

@@ -33,9 +33,15 @@ def _family(df: DataFrame, column: str) -> tuple[str, str]:
 def key_hash(df: DataFrame, columns: Sequence[str]) -> Column:
     """Hash of a key that is the same for equal values of any comparable types.
 
-    A number too large for the common type hashes as null, on both sides alike.
+    A number is hashed as a double as well, by which those too large for the common type are told.
     """
-    return F.xxhash64(*[F.col(f"`{c}`").try_cast(_family(df, c)[1]) for c in columns])
+    parts = []
+    for c in columns:
+        name, common = _family(df, c)
+        parts.append(F.col(f"`{c}`").try_cast(common))
+        if name == "number":
+            parts.append(F.col(f"`{c}`").cast("double"))
+    return F.xxhash64(*parts)
 
 
 def require_comparable(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> None:

@@ -163,12 +163,32 @@ def test_keys_that_cannot_be_compared_are_refused(spark, threshold):
         lookup_join(left, right, ["k"], hot=hot)
 
 
-def test_a_repeated_hot_lookup_key_is_an_error(spark, threshold):
-    left = spark.range(500).selectExpr("id", "7 k")
-    right = spark.createDataFrame([(7, 1), (7, 2)], "k int, v int")
+def test_a_repeated_lookup_key_repeats_rows_whether_hot_or_not(spark, threshold):
+    left = spark.range(500).selectExpr("id", "if(id % 3 = 0, 8, 7) k")
+    right = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "k int, v int")
     hot = hot_keys(left, {"k": ["k"]}, hot_rows=100)["k"]
-    with pytest.raises(Exception, match="several rows"):
-        lookup_join(left, right, ["k"], hot=hot).collect()
+    assert len(hot.counts) == 2
+    want = rows(left.join(right, "k", "left").select("id", "v"))
+    assert rows(lookup_join(left, right, ["k"], hot=hot).select("id", "v")) == want
+    assert rows(lookup_join(left, right, ["k"]).select("id", "v")) == want
+
+
+def test_numbers_beyond_the_common_type_have_hashes_of_their_own(spark):
+    df = spark.range(50).selectExpr("cast(id as decimal(38,0)) * cast(1e30 as decimal(38,0)) k")
+    assert df.select(key_hash(df, ["k"])).distinct().count() == 50
+
+
+def test_unmatched_rows_are_found_in_one_pass(spark, skewed):
+    """Also for a key that the grid cuts and the right side lacks; the left side is scanned once."""
+    lines = spark.createDataFrame([(k, k) for k in range(20) if k != 7], "k int, n int")
+    heavy = hot_keys(skewed, {"k": ["k"]}, hot_rows=100)["k"]
+    grid = hot_grid(skewed, heavy, Hot(900, {h: 500 for h in heavy.counts}), least=50)
+    assert grid.first()["__rp"] == 10
+    found = fan_out(skewed, lines, ["k"], grid, keep_unmatched=True)
+    assert rows(found.select("id", "k", "n")) == rows(skewed.join(lines, "k", "left").select("id", "k", "n"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    at = f"#{skewed._jdf.queryExecution().analyzed().output().apply(0).exprId().id()}"
+    assert plan.count("LogicalRDD [id") + plan.count("LocalRelation [id") == 1, (at, plan)
 
 
 def test_filters_reach_the_scan_through_a_lookup(spark, tmp_path):
