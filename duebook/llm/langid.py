@@ -14,6 +14,8 @@ any other, never broadcast by hint.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -26,6 +28,8 @@ DIMENSIONS = 8_192       # hashed n-grams
 SIZE = 3                 # bytes of an n-gram
 EVIDENCE = 40.0          # n-grams' worth of evidence a text can give at most; they overlap
 STRENGTH = 20.0          # rows that the parent of a host or domain counts for
+UNSEEN = 0.25            # what an n-gram that was not seen in a language counts for
+OTHER = 0.05             # prior of a text in none of the languages
 THRESHOLD = 0.5          # posterior from which on a language is taken as found
 
 _FLOATS = T.ArrayType(T.DoubleType())
@@ -48,31 +52,35 @@ def _grams(text: bytes) -> np.ndarray:
     return (splitmix(code) % np.uint64(DIMENSIONS)).astype(np.int64)
 
 
-def text_model(docs: DataFrame, key: str, text: str, declared: str, languages: tuple[str, ...],
-               sample: int) -> np.ndarray:
-    """Log rate of each n-gram bucket by language, from ``sample`` rows with a known one."""
-    known = docs.where(F.col(declared).isin(*languages) & F.col(text).isNotNull()
-                       & F.col(key).isNotNull())
-    chosen = staged(known.select(F.col(key).alias("__key")).orderBy(F.xxhash64("__key"), "__key")
-                    .limit(sample).distinct(), 1)
-    some = known.join(F.broadcast(chosen), docs[key] == F.col("__key"))   # ``sample`` keys at most
+def text_model(docs: DataFrame, text: str, declared: str, languages: tuple[str, ...],
+               sample: int) -> np.ndarray | None:
+    """Log rate of each n-gram bucket by language; None where no row declares one of them.
+
+    Fitted to ``sample`` different texts, of each language the like number with the smallest hashes.
+    """
+    rows = (docs.where(F.col(declared).isin(*languages) & F.col(text).isNotNull())
+            .select(F.col(declared).alias("l"), F.col(text).alias("text"))
+            .withColumn("mark", F.xxhash64("l", "text")))
+    picked = [rows.where(F.col("l") == l).select("mark").distinct().orderBy("mark")
+              .limit(-(-sample // len(languages))) for l in languages]
+    chosen = staged(reduce(DataFrame.unionByName, picked), 1)
+    # about ``sample`` marks; of copies any one, as they are equal
+    some = rows.join(F.broadcast(chosen), "mark").groupBy("mark").agg(
+        F.min("l").alias("l"), F.min("text").alias("text"))
 
     def count(column: pa.Array) -> list[pa.Array]:
         return [list_array([np.unique(_grams(t)) for t in texts_of(column)], pa.int32())]
-    grams = by_batch(some, [text], [T.StructField("grams", T.ArrayType(T.IntegerType()))], count,
-                     [declared])
-    table = (grams.select(F.col(declared).alias("l"), F.explode("grams").alias("g"))
+    grams = by_batch(some, ["text"], [T.StructField("grams", T.ArrayType(T.IntegerType()))], count, ["l"])
+    table = (grams.select("l", F.explode("grams").alias("g"))
              .groupBy("l", "g").count().toArrow())     # languages x DIMENSIONS rows at most
-    counts = np.ones((DIMENSIONS, len(languages)))
+    if not table.num_rows:
+        return None
+    counts = np.full((DIMENSIONS, len(languages)), UNSEEN)
     at = [languages.index(x) for x in table["l"].to_pylist()]
     np.add.at(counts, (np.asarray(table["g"]), at), np.asarray(table["count"]))
     return np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
-
-
-
-
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", declared: str = "lang",
              host: str | None = "source", suffix: str | None = None,
              languages: tuple[str, ...] = LANGUAGES, keep: list[str] | None = None,
@@ -82,26 +90,33 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", declared:
     ``declared``, ``host`` and ``suffix`` are columns; None leaves that evidence out, a null
     or unknown value gives none for its row.  ``__kept`` needs letters in the text and a
     posterior of at least one half.  Null, empty and letterless texts get the language that
-    the other evidence favours, and are not kept.  Ties take the language first in
-    ``languages``.  Repeated rows count each; an empty table gives no rows.
+    the other evidence favours, and are not kept.  So do texts of another language and noise:
+    the background, in which all n-grams are equally likely, is a class of its own, and where it
+    is likelier than every language the text has none.  Where no row declares a known language
+    nothing is learned and no text has one.  Ties take the language first in ``languages``.
+    Repeated rows count each; an empty table gives no rows.  Other columns are not read.
     """
     names = [f"p{n}" for n in range(len(languages))]
-    model = text_model(docs, key, text, declared, languages, sample)
+    model = text_model(docs, text, declared, languages, sample)
 
     def score(column: pa.Array) -> list[pa.Array]:
         rows, best = [], []
         for t in texts_of(column):
             grams = _grams(t or b"")
-            total = np.zeros(len(languages))
-            if len(grams):
+            total, known = np.zeros(len(languages) + 1), False       # the background last
+            if len(grams) and model is not None:
                 counts = np.bincount(grams, minlength=DIMENSIONS)
-                total = counts @ model / len(grams) * min(len(grams), EVIDENCE)
-                total = (total - total.max()).astype(np.float64)
+                total[:-1] = counts @ model / len(grams)
+                total[-1] = -np.log(DIMENSIONS)
+                known = total[:-1].max() >= total[-1]
+                total = (total - total.max()) * min(len(grams), EVIDENCE)
             rows.append(total)
-            best.append(int(total.argmax()) if len(grams) else None)
+            best.append(int(total[:-1].argmax()) if known else None)
         return [list_array(rows, pa.float64()), pa.array(best, pa.int32())]
 
     out = keep if keep is not None else [key]
+    # no column that is not read can clash with those added here
+    docs = docs.select(*dict.fromkeys([*out, text, declared, *[c for c in (host, suffix) if c]]))
     place = lower_ascii(F.col(host)) if host else F.lit(None).cast("string")
     labels = docs.withColumns({
         "__declared": F.when(F.lower(declared).isin(*languages), F.lower(declared)),
@@ -168,11 +183,11 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", declared:
             total[n] = total[n] + F.least(F.lit(2.0), F.greatest(F.lit(-2.0), F.log(rate)))
     scored = scored.withColumns(dict(zip(names, [t.alias(p) for t, p in zip(total, names)])))
     top = F.greatest(*names)
-    mass = F.lit(0.0)
+    mass = F.exp(F.col("__like")[len(languages)] + float(np.log(OTHER)) - top)
     for p in names:
         mass = mass + F.exp(F.col(p) - top)
     found = F.coalesce(*[F.when(F.col(p) == top, l) for p, l in zip(names, languages)])
-    text_lang = F.element_at(F.array(*[F.lit(l) for l in languages]), F.col("__best") + 1)
+    text_lang = F.coalesce(*[F.when(F.col("__best") == n, l) for n, l in enumerate(languages)])
     posterior = F.lit(1.0) / mass
     return scored.select(
         *[F.col(f"`{c}`") for c in out], found.alias("__lang"), posterior.alias("__posterior"),

@@ -9,6 +9,9 @@
    may meet in several canopies; it is counted in the first one of both only, so that links
    can be summed per vector without a row per pair.  What leaves a block is the number of
    links per vector, and a spanning forest of the links, from which components follow.
+
+Equal vectors are one class from the start, with the smallest id and a count, so copies cost no
+comparisons however many there are.
 """
 
 from __future__ import annotations
@@ -182,7 +185,10 @@ def _compare(limit: float):
                 first[at:at + (1 << 14)] = ~(member[a[at:at + (1 << 14)]]
                                              & member[b[at:at + (1 << 14)]]).any(axis=1)
             a, b = a[first], b[first]
-        counts = np.bincount(np.concatenate([a, b]), minlength=len(ids))
+        # a link to a class is one to each of its members
+        copies = np.asarray(table["copies"])
+        counts = np.bincount(np.concatenate([a, b]), np.concatenate([copies[b], copies[a]]),
+                             len(ids)).astype(np.int64)
         linked = np.flatnonzero(counts)
         joined = _forest(ids[a], ids[b])
         return pa.table({
@@ -200,13 +206,24 @@ def embedding_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     such pair is confirmed in double precision.  ``component_id`` is the smallest key
     reachable by links.  Null, empty and zero vectors and those with null or non-finite
     components are linked with nothing, nor are vectors of different lengths.  ``key`` is a
-    whole number without repeats; a row with a null key is linked with nothing, has a null
-    component and is kept.  Equal vectors are linked.  An empty table gives no rows.
+    whole number; a row with a null key is linked with nothing, has a null component and is kept.
+    Equal vectors are linked.  A repeated row (key and vector) counts once and gets its result each
+    time; different vectors of one key are vectors of their own, with a count each and the component
+    of all that either reaches.  An empty table gives no rows.  Other columns are not read.
     """
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
+    mark = [F.xxhash64(F.lit(n), F.col(vector)).alias(f"mark{n}") for n in (1, 2)]
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), *mark)
+    marks = ["mark1", "mark2"]
+    usable = rows.where("id is not null and v is not null")
+    # one row per different vector, told by 128 bits: the smallest id and how many ids have it
+    grouped = usable.groupBy(*marks).agg(
+        F.min("id").alias("least"), F.min_by("v", "id").alias("v"))
+    sizes = usable.select(*marks, "id").distinct().groupBy(*marks).agg(F.count("*").alias("copies"))
+    # a key may be the smallest of several vectors, so a class has a number of its own
+    classes = staged(grouped.join(sizes, marks).withColumn("id", F.xxhash64("mark1", "mark2")))
     fields = [T.StructField("cells", T.ArrayType(T.LongType()))]
-    hashed = staged(by_batch(rows.where("id is not null"), ["v"], fields, _hashes(tables, probes),
-                             ["id", "v"], rows=2048))
+    hashed = staged(by_batch(classes, ["v"], fields, _hashes(tables, probes),
+                             ["id", "v", "copies", "least", *marks], rows=2048))
     width = 1 + probes
     entries = hashed.select("id", F.posexplode("cells").alias("at", "cell"))
     homes = (entries.where(F.col("at") % width == 0).groupBy("cell")
@@ -214,29 +231,45 @@ def embedding_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     # members and guests of cells that are someone's own; cells only probed drop out, and
     # two vectors meet if one lies in its own cell where the other lies or probes
     placed = staged(entries.join(staged(homes), "cell").select("pivot", "id").distinct())
-    sizes = placed.groupBy("pivot").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = staged(sizes.withColumnRenamed("pivot", "canopy"))
-    placed = staged(placed.join(sizes, F.col("pivot") == F.col("canopy"))
+    many = placed.groupBy("pivot").agg(F.count("*").alias("n")).where("n > 1")
+    many = staged(many.withColumnRenamed("pivot", "canopy"))
+    placed = staged(placed.join(many, F.col("pivot") == F.col("canopy"))
                     .select("canopy", "n", "id"))
     lists = placed.groupBy("id").agg(F.array_sort(F.collect_set("canopy")).alias("canopies"))
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    facts = staged(hashed.select("id", "v").join(lists, "id"))     # at most tables * width canopies
+    facts = staged(hashed.select("id", "v", "copies").join(lists, "id"))  # at most tables * width canopies
     spread = (placed.withColumn("parts", parts)
               .withColumn("block", F.pmod(F.xxhash64("id", "canopy"), F.col("parts")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .join(facts, "id")
               .select("canopy", F.least("block", "other").alias("x"),
-                      F.greatest("block", "other").alias("y"), "block", "id", "v", "canopies"))
+                      F.greatest("block", "other").alias("y"), "block", "id", "v", "copies", "canopies"))
     found = staged(spread.groupBy("canopy", "x", "y").applyInArrow(
         _compare(limit), "id long, n long, other long"))
-    counts = found.where("other is null").groupBy("id").agg(F.sum("n").alias("n"))
-    group = staged(components(found.where("other is not null").select(
-        F.col("id").alias("a"), F.col("other").alias("b"))))
-    counts = counts.withColumnRenamed("id", "__c")
-    group = group.withColumnRenamed("id", "__g")
-    result = (rows.select("id").join(counts, F.col("id") == F.col("__c"), "left")
-              .join(group, F.col("id") == F.col("__g"), "left")
-              .withColumn("component", F.coalesce("component", "id")))
+    counts = found.where("other is null").groupBy(F.col("id").alias("c")).agg(F.sum("n").alias("n"))
+    linked = hashed.where(F.size("cells") > 0).select("id", "copies", "least", *marks)
+    linked = staged(linked.join(counts, F.col("id") == F.col("c"), "left").select(
+        "id", "least", *marks, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n")))
+    # components over keys: links of classes, and of each key with the least one of its class
+    least = linked.select("id", "least")
+    edges = found.where("other is not null").select(F.col("id").alias("p"), F.col("other").alias("q"))
+    named = (edges.join(least.select(F.col("id").alias("p"), F.col("least").alias("a")), "p")
+             .join(least.select(F.col("id").alias("q"), F.col("least").alias("b")), "q").select("a", "b"))
+    held = usable.join(linked.select(*marks, "least", "n"), marks)
+    copies = held.where("id != least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    several = usable.select("id", *marks).distinct().groupBy("id").count().where("count > 1").limit(1).count()
+    links = named.unionByName(copies) if several else named
+    group = staged(components(links))
+    group = group.select(F.col("id").alias("g"), "component")
+    told = linked.select(*[F.col(m).alias(f"c_{m}") for m in marks], "least", "n")
+    result = rows.select("id", *marks).join(
+        told, (F.col("mark1") == F.col("c_mark1")) & (F.col("mark2") == F.col("c_mark2"))
+        & F.col("id").isNotNull(), "left")
+    # where every key has one vector, copies share the component of their least key
+    reached = F.col("id") if several else F.coalesce("least", "id")
+    result = result.withColumn("r", reached).join(group, F.col("r") == F.col("g"), "left")
+    component = F.when(F.col("least").isNotNull(), F.coalesce("component", "r")).otherwise(
+        F.coalesce("component", "id") if several else F.col("id"))
     return result.select(F.col("id").alias(key), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-                         F.col("component").alias("component_id"),
-                         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+                         component.alias("component_id"),
+                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import WordHasher, by_batch, list_array, splitmix, staged, texts_of
+from .common import WordHasher, by_batch, list_array, numbered, splitmix, staged, texts_of
 from .components import components
 
 MINIMA = 128
@@ -312,6 +312,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
                percent: int = 80) -> DataFrame:
     """The documents without those that repeat an earlier one, all columns as they are."""
-    groups = near_groups(docs, key, text, size, percent)
-    dropped = groups.where("not kept").select(F.col(key).alias("__dropped"))
-    return docs.join(dropped, docs[key] == F.col("__dropped"), "left_anti")
+    plain, names = numbered(docs)
+    groups = near_groups(plain.select(names[key], names[text]), names[key], names[text], size, percent)
+    dropped = groups.where("not kept").select(F.col(names[key]).alias("dropped"))
+    kept = plain.join(dropped, plain[names[key]] == F.col("dropped"), "left_anti")
+    return kept.toDF(*docs.columns)

@@ -177,18 +177,25 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, penalty: float = 1e-4)
 
 
 def quality_model(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> np.ndarray:
-    """Weights of the scorer.  Votes come from all texts, the fit from ``sample`` of them."""
-    voted = staged(by_batch(docs, [text], [T.StructField("votes", T.IntegerType())], _vote, [key]))
+    """Weights of the scorer.  Votes come from all texts, the fit from ``sample`` of them.
+
+    The sample are the texts with the smallest hashes of key and text, each once, so that it is the
+    same in any partitioning and however often a key or a text is repeated.
+    """
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn(
+        "mark", F.xxhash64("id", "text"))
+    voted = staged(by_batch(rows, ["text"], [T.StructField("votes", T.IntegerType())], _vote, ["id", "mark"]))
     patterns = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
     posterior, _ = weak_labels(patterns)
-    chosen = voted.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(sample)
-    chosen = staged(chosen.select(F.col(key).alias("__key"), "votes").dropDuplicates(["__key"]), 1)
-    # at most ``sample`` keys
-    some = docs.join(F.broadcast(chosen), docs[key] == F.col("__key"))
-    rows = by_batch(some, [text], [T.StructField("x", T.ArrayType(T.FloatType()))], _features,
-                    ["votes"]).limit(sample).toArrow()
-    x = np.asarray(rows["x"].combine_chunks().flatten()).reshape(-1, DIMENSIONS)
-    return fit(x, np.array([posterior[v] for v in rows["votes"].to_pylist()]))
+    chosen = voted.where("id is not null").select("mark", "votes").distinct()
+    chosen = staged(chosen.orderBy("mark", "votes").limit(sample), 1)
+    # at most ``sample`` marks; of copies of a row any one, as they are equal
+    some = (rows.join(F.broadcast(chosen), "mark").where("id is not null")
+            .groupBy("mark", "votes").agg(F.min("text").alias("text")))
+    found = by_batch(some, ["text"], [T.StructField("x", T.ArrayType(T.FloatType()))], _features,
+                     ["mark", "votes"]).orderBy("mark").toArrow()
+    x = np.asarray(found["x"].combine_chunks().flatten()).reshape(-1, DIMENSIONS)
+    return fit(x, np.array([posterior[v] for v in found["votes"].to_pylist()]))
 
 
 def _scored(docs: DataFrame, key: str, text: str, keep: list[str], sample: int) -> DataFrame:
@@ -214,8 +221,9 @@ def quality_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     (null keys are not in the sample).  Other columns are not read.  An empty table gives no
     rows.
     """
-    rows = _scored(docs, key, text, [key], sample)
-    return rows.select(key, F.col("__score").alias("score"),
+    plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = _scored(plain, "id", "text", ["id"], sample)
+    return rows.select(F.col("id").alias(key), F.col("__score").alias("score"),
                        (F.col("__score") >= THRESHOLD).alias("kept"))
 
 

@@ -144,7 +144,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     of both classes all texts score 0, or 1 if only toxic ones are given.  An empty table
     gives no rows.
     """
-    weights, bias = toxicity_model(docs, labels, key, text, label, sample)
+    docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    labels = labels.select(F.col(key).alias("id"), F.col(label).alias("label"))
+    weights, bias = toxicity_model(docs, labels, "id", "text", "label", sample)
     shared = docs.sparkSession.sparkContext.broadcast(weights)       # DIMENSIONS floats
 
     def score(column: pa.Array) -> list[pa.Array]:
@@ -154,7 +156,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             z = bias + float(w[np.unique(g[w[g] != 0])].sum(dtype=np.float64))
             scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
         return [pa.array(scores, pa.float64())]
-    scored = by_batch(docs, [text], [T.StructField("__score", T.DoubleType())], score, [key])
-    return scored.select(key, F.coalesce(held_out(F.col(key)), F.lit(False)).alias("held_out"),
-                         F.col("__score").alias("score"),
-                         (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = by_batch(docs, ["text"], [T.StructField("score", T.DoubleType())], score, ["id"])
+    return scored.select(F.col("id").alias(key), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

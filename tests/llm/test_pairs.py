@@ -153,12 +153,38 @@ def test_links_equal_brute_force(spark, vectors):
              and units[a] @ units[b] >= 0.95]
     want, degree = grouped(units, links), {i: sum(i in ab for ab in links) for i in units}
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    found = lattice.embedding_links(frame.withColumn("id", F.lit(1)), tables=30).collect()
+    for name in ("id", "v", "least", "copies", "n", "mark1", "c", "g", "component"):
+        frame = frame.withColumn(name, F.lit(1))
+    found = lattice.embedding_links(frame).collect()
     assert {r.vec_id: r.n_links for r in found} == degree
     assert {r.vec_id: r.component_id for r in found} == want
     assert {r.vec_id for r in found if r.kept} == {i for i, c in want.items() if i == c}
 
 
+def test_copies_and_repeated_rows(spark, vectors):
+    """Two thousand copies of one vector, rows that repeat, and a key with two vectors."""
+    near = [(i, v) for i, v in vectors[:12]]
+    copies = [(10_000 + n, vectors[0][1]) for n in range(2_000)] + [(5, vectors[0][1])]
+    frame = spark.createDataFrame(near + copies + near[:4] * 2, "vec_id long, embedding array<float>")
+    found = lattice.embedding_links(frame).collect()
+    assert len(found) == 12 + 2_001 + 8
+    plain = {r.vec_id: r for r in lattice.embedding_links(
+        spark.createDataFrame(near, "vec_id long, embedding array<float>")).collect()}
+    assert plain[10].n_links > 0
+    by_key = {}
+    for r in found:
+        assert by_key.setdefault(r.vec_id, r) == r
+    for i, _ in near:
+        touches = i == 10 or plain[i].component_id == plain[10].component_id
+        assert by_key[i].component_id == (5 if touches else plain[i].component_id)
+    assert by_key[5].n_links == by_key[10_007].n_links == plain[10].n_links + 2_001
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (2, [0.0, 1.0]), (4, [1.0, 1.0]),
+                                   (9, [0.0, 0.0]), (8, [0.0, 0.0])], "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in lattice.embedding_links(twice).collect()) == [
+        (1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True), (8, 0, 8, True),
+        (9, 0, 9, True)]
+
+
 def test_nearest_lattice_point_is_nearest():
     draw = np.random.default_rng(4)
     x = draw.normal(0, 2, (300, 8))

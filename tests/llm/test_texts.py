@@ -23,7 +23,9 @@ SCHEMA = "doc_id long, text string, lang string, source string"
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls, empty and very long texts, repeated rows, and columns with clashing names."""
-    clash = ["score", "kept", "id", "n_words", "batch", "__score", "posterior"]
+    clash = ["score", "kept", "id", "n_words", "batch", "__score", "posterior", "votes", "block", "w0", "w3",
+             "mark", "key", "host", "line", "gone", "removed", "label", "bits", "asked", "band", "dropped",
+             "__key", "__label", "__host", "__gone", "__removed", "__words", "__dropped", "__best", "c1"]
     return spark.createDataFrame(ODD, SCHEMA).withColumns({c: F.lit("x") for c in clash})
 
 
@@ -66,8 +68,12 @@ def test_shared_lines(spark, odd):
              (41, "One shared line 7\n" * 1 + "a b", "h"), (42, "one shared LINE 9\n" * 9, "h")]
     rows += [(100 + n, rows[0][1], "h") for n in range(30)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {r.doc_id: r for r in line_rules.line_rules(frame).collect()}
+    found = {r.doc_id: r for r in line_rules.line_rules(frame, copies_count_once=True).collect()}
     assert found[0].removed_words == 4 and found[0].kept and found[110].kept
+    # by documents, 31 copies of a line are beyond the limit of 25
+    counted = {r.doc_id: r for r in line_rules.line_rules(frame).collect()}
+    assert counted[110].removed_words == counted[110].n_words and not counted[110].kept
+    assert counted[1].removed_words == 4 and counted[1].kept
     assert found[40].removed_words == 0 and found[40].kept
     assert not found[41].kept and not found[42].kept and found[42].removed_words == 36
     more = line_rules.line_rules(odd)
@@ -100,7 +106,12 @@ def test_url_filter(spark):
             "http://x.com/fr/", "http://x.com", "http://notorg/x", "x://h.net://y/z", "http://h.net?a/b"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1))
     listed = spark.createDataFrame([("http://bad.net/p.html?b=2&a=1",), (None,), ("junk",)], "url string")
-    found = {r.page_id: r for r in url_filter(pages, listed.union(listed), RULES).collect()}
+    for name in ("block", "w0", "w1", "__host", "bits", "wanted", "on_list", "decided"):
+        pages = pages.withColumn(name, F.lit("mine"))
+    judged = url_filter(pages, listed.union(listed), RULES)
+    assert {r.block for r in judged.collect()} == {"mine"} == {r["__host"] for r in judged.collect()}
+    found = {r.page_id: r for r in judged.collect()}
+    assert [n for n, r in found.items() if r.listed] == [n for n, r in found.items() if r.passed_filter] == [6, 7]
     assert [found[n].verdict for n in range(len(urls))] == [
         "allow", "block", "block", "allow", "allow", "allow", "block", "block", "allow", "allow", "allow",
         "allow", "allow", "allow"]
@@ -112,6 +123,25 @@ def test_url_filter(spark):
     assert url_filter(pages.limit(0), listed, RULES).count() == 0
 
 
+def test_url_filter_by_shuffle_and_with_a_very_long_url(spark):
+    pages = spark.range(3_000).select("id", F.concat(F.lit("http://h"), F.col("id") % 300, F.lit(".net/p/"),
+                                                    "id").alias("url"))
+    pages = pages.unionByName(spark.createDataFrame([(9_999, "http://long.net/" + "x" * 200_000)], "id long, url string"))
+    listed = pages.where("id % 10 = 3 or id = 9999").select("url")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = url_filter(pages, listed)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.id for r in rows if r.listed} == {r.id for r in rows if r.verdict == "block"} == {
+        *range(3, 3_000, 10), 9_999}
+    assert all(r.passed_filter for r in rows if r.listed)
+    assert sum(r.passed_filter for r in rows) < 301 + 20
+
+
 def test_blocked_filter_has_no_false_negative_and_few_false_positives(spark):
     keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"))
     from duebook.llm.url_filter import BITS_PER_URL, _bits
@@ -218,6 +248,58 @@ def test_host_and_suffix_decide_where_the_text_says_little(spark):
     assert (found[900], found[901]) == ("de", "en")
 
 
+def test_other_languages_and_noise_have_no_language(spark, docs, odd):
+    draw = random.Random(8)
+    polish = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni "
+              "rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.")
+    noise = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for n in (30, 400, 20_000)]
+    rows = [(10_000 + n, t, "pl", "s") for n, t in enumerate([polish, *noise])]
+    both = docs.select("doc_id", "text", "lang", "source").unionByName(spark.createDataFrame(rows, SCHEMA))
+    found = {r.doc_id: r for r in langid.language_scores(both).collect()}
+    assert all(found[10_000 + n].text_lang is None and not found[10_000 + n].kept for n in range(4))
+    assert sum(r.kept for i, r in found.items() if i < 10_000) >= 0.99 * docs.where("text rlike '[A-Za-z]'").count()
+    # nothing declared, nothing learned
+    unknown = docs.withColumn("lang", F.lit("xx"))
+    assert {(r.kept, r.text_lang) for r in langid.language_scores(unknown).collect()} == {(False, None)}
+
+
+def test_samples_do_not_depend_on_the_partitioning(spark, docs):
+    one_key = docs.select(F.lit(1).cast("long").alias("doc_id"), "text", "lang", "source")
+    weights = [quality.quality_model(one_key.repartition(n), "doc_id", "text", sample=50) for n in (1, 7)]
+    assert np.abs(weights[0] - weights[1]).max() < 1e-6
+    models = [langid.text_model(one_key.repartition(n), "text", "lang", langid.LANGUAGES, 40) for n in (1, 7)]
+    assert np.array_equal(*models)
+
+
+def test_pages_use_suffix_host_and_declared_language(spark, docs):
+    """The registered query over pages: its text language against a plain count of the same n-grams."""
+    from duebook.llm.queries import language_of_pages
+    found = language_of_pages(spark, DATA).collect()
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    assert len(found) == pages.count()
+    assert {r.kept for r in found} <= {True, False} and sum(r.kept for r in found) > 0.9 * len(found)
+    declared = [r for r in found if r.declared]
+    assert not declared or sum(r.declared == r.lang_found for r in declared) > 0.9 * len(declared)
+
+
+def test_pipeline_stages_keep_columns_and_place_every_document_once(spark, tmp_path, docs, odd):
+    import corpus_pipeline
+    docs.limit(150).unionByName(odd.select("doc_id", "text", "lang", "source"), True).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    names, left = [n for n, _ in corpus_pipeline.STAGES], spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert names == ["quality", "language", "near_duplicates", "packing"]
+    total = [left.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, left, str(tmp_path))
+        assert after.columns == docs.columns
+        total.append(after.count())
+        left = after
+    assert total == sorted(total, reverse=True) and 0 < total[-1]
+    kept = {r.doc_id for r in left.select("doc_id").collect()}
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r[0] for r in packed.select("doc_id").collect()} == kept
+
+
 def test_toxicity_on_held_out_rows(spark, odd):
     draw = random.Random(4)
     plain = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
