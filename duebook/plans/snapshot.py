@@ -129,9 +129,10 @@ def finished_steps(spark: SparkSession, journal: str | None, as_of: dt.date) ->
             .select("step").distinct().collect()}
 
 
-def newest_slice(spark: SparkSession, table: str, as_of: dt.date) -> DataFrame | None:
-    """The last slice before a day."""
-    before = [d for d in tables.partition_dates(spark, table) if d < as_of]
+def newest_slice(spark: SparkSession, table: str, as_of: dt.date, days: int) -> DataFrame | None:
+    """The last slice before a day, if it is in the window of that day."""
+    window = as_of - dt.timedelta(days)
+    before = [d for d in tables.partition_dates(spark, table) if window <= d < as_of]
     return spark.table(table).where(F.col(DAY) == F.lit(before[-1])) if before else None
 
 
@@ -157,7 +158,7 @@ def daily_run(sku: DataFrame, names: SnapshotTables, as_of: dt.date, days: int =
     if not {"appended", "checked"} <= done:
         if not spark.catalog.tableExists(names.hot):
             tables.create(snapshot_slice(sku, as_of, dispute), names.hot, DAY)
-        newest = newest_slice(spark, names.hot, as_of) if lookback_days else None
+        newest = newest_slice(spark, names.hot, as_of, days) if lookback_days else None
         late = late_clearings(sku, newest, as_of, lookback_days) if newest is not None else None
         today = snapshot_slice(sku, as_of, dispute, newest, lookback_days)
         tables.create(today, names.open_only, DAY)

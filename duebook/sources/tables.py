@@ -1,7 +1,7 @@
 """Writing catalog tables: full load, keyed upsert, partition replacement and retention.
 
 Plain parquet tables of the session catalog.  Nothing is deleted before its replacement is
-written: a full load is written beside the old table and then takes its name, an upsert
+written: a full load is written to a folder of its own to which the table is then pointed, an upsert
 replaces whole date partitions when its job commits, retention drops partitions without
 reading them.
 """
@@ -11,10 +11,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from duebook.operators.fingerprints import repeated
+
 _MODE = "spark.sql.sources.partitionOverwriteMode"
+_ONE_WRITE = Lock()
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"     # the catalog's name for a null date
 
 
@@ -48,16 +52,69 @@ def recover(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE {aside}")
 
 
-def full_load(df: DataFrame, table: str, partition: str | None = None) -> None:
+VERSIONS = 2             # loads of a table that are kept, the current one among them
+
+
+def _folder(spark: SparkSession, table: str) -> str:
+    """Where the versions of a table lie: beside the tables of its database."""
+    name, _, database = table[::-1].partition(".")
+    root = spark.catalog.getDatabase(database[::-1] or spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{name[::-1]}__versions"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def versions(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of the version folders of a table, oldest first; whole or not."""
+    files, root = _file_system(spark, _folder(spark, table))
+    if not files.exists(root):
+        return []
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(root))
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type
+
+
+def full_load(df: DataFrame, table: str, partition: str | None = None, keep: int = VERSIONS) -> None:
     """Replace a table; it may be read by ``df`` itself.
 
-    The old table is dropped last, so there is a whole copy at any time; ``recover`` puts it
-    in place after a stop, and the next load does so by itself.
+    The rows are written to a version folder of their own, then the catalog is pointed to it by
+    one change: at any time the table is there, with all its old rows or all its new ones.  The
+    last ``keep`` versions stay, so queries that began before the change can end.
+
+    A table with partitions, or whose columns change, has more than one entry to change: it is
+    written beside and renamed in two steps, and ``recover`` puts it in place after a stop, as the
+    next load does by itself.
     """
     spark = df.sparkSession
-    beside, aside = f"{table}__next", f"{table}__old"
     recover(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")     # of a load by renames that was stopped
+    there = spark.catalog.tableExists(table)
+    if partition or (there and (spark.table(table).dtypes != df.dtypes or any(
+            c.isPartition for c in spark.catalog.listColumns(table)))):
+        _load_by_renames(df, table, partition)
+        return
+    found = versions(spark, table)
+    folder = f"{_folder(spark, table)}/{found[-1] + 1 if found else 1}"
+    df.write.parquet(folder)
+    if there:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    for old in found[:len(found) + 1 - keep]:
+        files, path = _file_system(spark, f"{_folder(spark, table)}/{old}")
+        files.delete(path, True)
+
+
+def _load_by_renames(df: DataFrame, table: str, partition: str | None) -> None:
+    spark = df.sparkSession
+    beside, aside = f"{table}__next", f"{table}__old"
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.saveAsTable(beside)
     if spark.catalog.tableExists(table):
@@ -68,12 +125,14 @@ def full_load(df: DataFrame, table: str, partition: str | None = None) -> None:
 
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
-    before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_MODE, before)
+    """The setting is that of the session, so one write at a time has it."""
+    with _ONE_WRITE:
+        before = spark.conf.get(_MODE)
+        spark.conf.set(_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(_MODE, before)
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
@@ -118,8 +177,9 @@ def keyed_upsert(source: DataFrame, table: str, keys: Sequence[str], partition:
     ``cluster`` lays the rows out by partition and these columns; ``None`` keeps the layout
     of the source where nothing has to be merged into it.
 
-    Without ``dates`` the batch is written beside the table first, so it is computed once; a
-    key that it holds twice is an error then, as the table would get both rows.
+    A key that the batch holds twice is an error, as the table would get both rows.  Without
+    ``dates`` the batch is written beside the table first, so it is computed once; with them it
+    should be a stored table or part of one.
     """
     spark = source.sparkSession
     create(source, table, partition)
@@ -128,10 +188,10 @@ def keyed_upsert(source: DataFrame, table: str, keys: Sequence[str], partition:
         spark.sql(f"DROP TABLE IF EXISTS {batch}")
         source.write.saveAsTable(batch)
         source = spark.table(batch)
-        twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"the batch for {table} holds a key more than once: {twice[0]}")
         dates = [row[0] for row in source.select(partition).distinct().collect()]
+    twice = repeated(source, keys).limit(1).collect()
+    if twice:
+        raise ValueError(f"the batch for {table} holds a key more than once: {twice[0]}")
     present = sorted({d for d in dates if d is not None} & {*partition_dates(spark, table)})
     old = F.col(partition).isin(present)
     if None in dates:

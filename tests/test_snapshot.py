@@ -156,3 +156,108 @@ def test_upsert_refuses_repeated_keys_and_takes_null_dates(spark, db):
     assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, "c"), (2, "c")]
     with pytest.raises(ValueError, match="more than once"):
         tables.keyed_upsert(batch.union(batch), table, ["k", "d"], "d")
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_full_load_never_leaves_the_table_absent(spark, db, monkeypatch):
+    """Stopped after each of its steps, there are the old rows or the new ones."""
+    table = f"{db}.pointed"
+    tables.full_load(spark.range(3), table)
+    sql, parquet = type(spark).sql, type(spark.range(1).write).parquet
+
+    def stop(*_, **__):
+        raise Stopped
+
+    def after(step):
+        def run(*args, **kwargs):
+            step(*args, **kwargs)
+            raise Stopped
+        return run
+    steps = [(type(spark.range(1).write), "parquet", stop, 3), (type(spark.range(1).write), "parquet", after(parquet), 3),
+             (type(spark.catalog), "refreshTable", stop, 7), (tables, "_file_system", None, 7)]
+    for owner, name, new, expected in steps:
+        if new is not None:
+            with monkeypatch.context() as m:
+                m.setattr(owner, name, new)
+                with pytest.raises(Stopped):
+                    tables.full_load(spark.range(7), table)
+        assert spark.table(table).count() == expected, name
+    for n in range(4):
+        tables.full_load(spark.table(table).union(spark.range(1)), table)
+        assert spark.table(table).count() == 8 + n
+        assert len(tables.versions(spark, table)) <= tables.VERSIONS
+    assert sql is type(spark).sql
+    # other columns: by renames
+    tables.full_load(spark.range(2).selectExpr("id", "'x' text"), table)
+    assert spark.table(table).columns == ["id", "text"]
+
+
+def test_a_run_goes_on_after_its_last_whole_step(spark, db, monkeypatch):
+    """Stopped after each step in turn and resumed, three days end as if undisturbed."""
+    days = [START + dt.timedelta(n) for n in range(4)]
+
+    def state(today):
+        return sku(spark, [("a", None, "10"), ("b", days[1] if today >= days[1] else None, "20")])
+
+    def names(tag):
+        return snapshot.SnapshotTables(*[f"{db}.{tag}_{t}" for t in (
+            "hot", "archive", "open_only", "checks", "prints", "journal")])
+
+    def content(n):
+        return [rows(spark.table(t).select(*[F.col(c).cast("string") for c in sorted(spark.table(t).columns)]))
+                for t in (n.hot, n.archive, n.open_only, n.prints)]
+    plain = names("plain")
+    snapshot.backfill(state, plain, days, days=1, archive_started=True)
+    stopped, record = names("stopped"), snapshot._record
+    for at, step in enumerate(snapshot.STEPS):
+        def stop(spark_, journal, as_of, done, step=step, day=days[1 + at % 3]):
+            record(spark_, journal, as_of, done)
+            if (done, as_of) == (step, day):
+                raise Stopped
+        monkeypatch.setattr(snapshot, "_record", stop)
+        if at == 0:
+            with pytest.raises(Stopped):
+                snapshot.backfill(state, stopped, days, days=1, archive_started=True)
+        elif step not in snapshot.finished_steps(spark, stopped.journal, days[1 + at % 3]):
+            with pytest.raises(Stopped):
+                snapshot.backfill(state, stopped, days, days=1, archive_started=True, resume=True)
+    monkeypatch.setattr(snapshot, "_record", record)
+    snapshot.backfill(state, stopped, days, days=1, archive_started=True, resume=True)
+    assert content(stopped) == content(plain)
+    assert snapshot.finished_steps(spark, stopped.journal, days[-1]) == {*snapshot.STEPS}
+
+
+def test_late_clearings_are_found_once_and_the_checks_know(spark, db):
+    names = snapshot.SnapshotTables(f"{db}.l_hot", f"{db}.l_archive", f"{db}.l_open", prints=f"{db}.l_prints")
+    days = [START + dt.timedelta(n) for n in range(5)]
+    for n, today in enumerate(days):
+        known = [("a", None, "10"), ("b", days[1] if n >= 3 else None, "20"), ("c", days[2] if n >= 2 else None, "30")]
+        snapshot.daily_run(sku(spark, known), names, today, archive_started=True, lookback_days=3)
+    cleared = spark.table(names.hot).where("snapshot_state = 'CLEARED'")
+    assert rows(cleared.select("accounting_document_id", F.col("snapshot_date").cast("string"))) == [
+        ("b", "2001-03-04"), ("c", "2001-03-03")]
+    # kept fingerprints: a day adds its own
+    assert spark.table(names.prints).count() == spark.table(names.hot).count()
+    again = cleared.withColumn("snapshot_date", F.lit(days[4]))
+    tables.replace_partitions(spark.table(names.hot).where(F.col("snapshot_date") == F.lit(days[4]))
+                              .unionByName(again), names.hot)
+    snapshot.keep_prints(spark, names.hot, names.prints, days[4])
+    found = quality.closed_once(spark.table(names.hot), days[4], spark.table(names.prints)).collect()
+    assert [(r.check_id, r.violation_count) for r in found] == [("DQ-04", 2)]
+
+
+def test_a_rerun_without_rows_leaves_no_slice(spark, db):
+    names = snapshot.SnapshotTables(f"{db}.e_hot", f"{db}.e_archive", f"{db}.e_open")
+    facts = sku(spark, [("a", None, "10")])
+    snapshot.daily_run(facts, names, START)
+    snapshot.daily_run(facts.limit(0), names, START, check=False)
+    assert spark.table(names.hot).count() == spark.table(names.open_only).count() == 0
+
+
+def test_upsert_with_given_dates_refuses_repeated_keys_too(spark, db):
+    batch = spark.sql("select 1 k, date'2001-01-01' d, 'a' v")
+    with pytest.raises(ValueError, match="more than once"):
+        tables.keyed_upsert(batch.union(batch), f"{db}.dated", ["k", "d"], "d", dates=[day("2001-01-01")])
