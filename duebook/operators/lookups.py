@@ -9,6 +9,7 @@ shuffle otherwise.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Sequence
 
@@ -133,6 +134,38 @@ def as_of_join(left: DataFrame, changes: DataFrame, on: Sequence[str], at: str,
     return lookup_join(left, spans, on, within=within, hot=hot).drop("__until")
 
 
+def validity_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, start: str, end: str,
+                  first: dt.date, last: dt.date, width: int = 64, hot: Hot | None = None,
+                  ids: Sequence[str] | None = None) -> DataFrame:
+    """Left join with the row whose interval ``[start, end]`` holds the left row's own date ``at``.
+
+    Dates are cut into bins of ``width`` days.  An interval is listed in each bin it touches between
+    ``first`` and ``last``, the dates that the left side can have, so the lists are no longer
+    than that time has bins; the left side is looked up by key and bin, once, and the exact test
+    runs over the few intervals of the bin.  Of overlapping ones the latest start wins, of
+    these the smallest other columns.  Null dates and those outside match nothing; an interval
+    without an end is open, one without a start matches nothing.
+    """
+    payload = [c for c in right.columns if c not in (*on, start, end)]
+    bins = [F.floor(F.unix_date(c) / width).cast("int") for c in (
+        F.greatest(F.col(start), F.lit(first)), F.least(F.coalesce(end, F.lit(last)), F.lit(last)))]
+    rows = right.where(F.col(start).isNotNull() & (F.col(start) <= F.lit(last))
+                       & (F.coalesce(end, F.lit(last)) >= F.greatest(F.col(start), F.lit(first))))
+    # latest start first, so that the first interval that holds the date is the one
+    entry = F.struct((-F.unix_date(start)).alias("order"), *[F.col(c) for c in payload],
+                     F.col(start).alias("start"), F.col(end).alias("end"))
+    listed = (rows.withColumn("__bin", F.explode(F.sequence(*bins))).groupBy(*on, "__bin")
+              .agg(F.sort_array(F.collect_list(entry)).alias("__listed")))
+    date = F.col(at)
+    inside = date.between(F.lit(first), F.lit(last))
+    left = left.withColumn("__bin", F.when(inside, F.floor(F.unix_date(date) / width).cast("int")))
+    joined = lookup_join(left, listed, [*on, "__bin"], hot=hot, ids=ids)
+    found = F.get(F.filter("__listed", lambda e: (e["start"] <= date) & (
+        e["end"].isNull() | (date <= e["end"]))), F.lit(0))
+    joined = joined.withColumn("__found", found)
+    return joined.withColumns({c: F.col(f"__found.{c}") for c in payload}).drop("__bin", "__listed", "__found")
+
+
 def valid_on(df: DataFrame, day: Column, valid_from: str, valid_to: str) -> DataFrame:
     """Rows of a dimension that are in force on one day, both ends included."""
     return df.where(day.between(F.col(valid_from), F.col(valid_to)))

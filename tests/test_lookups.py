@@ -1,10 +1,11 @@
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from duebook.operators.fanout import fan_out, hot_grid
-from duebook.operators.lookups import as_of_join, lookup_join, tiered_lookup, top1, valid_on
+from duebook.operators.lookups import as_of_join, lookup_join, tiered_lookup, top1, valid_on, validity_join
 from duebook.operators.skew import Hot, hot_keys, key_hash
 from tests.helpers import day, rows
 
@@ -197,3 +198,31 @@ def test_filters_reach_the_scan_through_a_lookup(spark, tmp_path):
     right = spark.createDataFrame([(1, "a")], "k long, v string")
     plan = lookup_join(items, right, ["k"]).where("company = 1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(company,1)" in plan
+
+
+def test_validity_join_equals_range_join(spark, threshold):
+    random.seed(3)
+    first, last = day("2001-01-01"), day("2003-12-31")
+
+    def some(low=0, high=1094):
+        return first + dt.timedelta(random.randrange(low, high))
+    left = [(n, random.choice(["EUR", "USD", None, "XXX"]), some() if n % 9 else None) for n in range(400)]
+    left += [(900, "EUR", day("1990-01-01")), (901, "USD", last), (902, "USD", first)]
+    right = []
+    for key in ("EUR", "USD", "JPY"):
+        for n in range(40):
+            start = some(-200, 1000)
+            right.append((key, start, random.choice([None, start, start + dt.timedelta(random.randrange(0, 400))]), n))
+    right += [("EUR", None, last, 1), ("EUR", day("2002-05-01"), day("2002-04-01"), 2), (None, first, last, 3),
+              ("USD", day("2010-01-01"), None, 4), ("USD", day("1980-01-01"), day("1985-01-01"), 5)]
+    items = spark.createDataFrame(left, "id int, k string, at date")
+    rates = spark.createDataFrame(right, "k string, f date, t date, v int")
+    for width in (7, 64, 5_000):
+        found = validity_join(items, rates, ["k"], "at", "f", "t", first, last, width)
+        assert found.columns == ["k", "id", "at", "v"] or sorted(found.columns) == ["at", "id", "k", "v"]
+        want = []
+        for i, k, at in left:
+            fits = [(-f.toordinal(), v) for key, f, t, v in right if key is not None and key == k and at and f
+                    and first <= at <= last and f <= at and (t is None or at <= t)]
+            want.append((i, min(fits)[1] if fits else None))
+        assert rows(found.select("id", "v")) == sorted(want, key=repr)

@@ -315,6 +315,16 @@ FRAMES: dict[str, str] = {
                     then money - case when material_number like '%7' then 1 else 0 end
                     else 0 end as decimal(36,3)) material_past_due_functional_amount
         from {history}""",
+    # The material fact of the history: its rows and open amounts, without the slices.
+    "mart": """
+        select snapshot_state, company_code, accounting_document_id,
+               accounting_document_posting_fiscal_year_id, accounting_document_item_id,
+               accounting_document_breakdown_item_id, billing_document_id, billing_document_item_id,
+               material_number, accounting_document_item_clearing_date,
+               accounting_document_item_clearing_status_name, due_date, reason, money,
+               cast(case when snapshot_state = 'OPEN' then money else 0 end as decimal(36,3))
+                   material_open_functional_amount
+        from {history}""",
     "snapshot_open": """
         select * from {snapshot} where snapshot_state = 'OPEN' and material_number not like '%9'""",
     "snapshot_archive": """
@@ -337,7 +347,7 @@ _STORED: dict[tuple[str, str], dict[str, tuple[str, StructType]]] = {}
 STORED = """
     ledger payment_terms companies currency_decimals dated_rates budget_rates
     profit_center_fence products ruled customers_current profit_centers business_units
-    company_dim security_tags
+    company_dim security_tags mart
 """.split()
 
 

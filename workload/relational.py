@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from duebook import functions as fn
 from duebook.operators.fanout import fan_out, hot_grid
-from duebook.operators.lookups import as_of_join, lookup_join, top1, valid_on
+from duebook.operators.lookups import as_of_join, lookup_join, top1, valid_on, validity_join
 from duebook.operators.prorate import group_totals
 from duebook.operators.quality import bucket_gap
 from duebook.operators.skew import hot_keys
@@ -344,6 +344,23 @@ def join_range_validity(f: Frames) -> DataFrame:
     return lookup_join(f["ledger_columns"].select("k", "waers"), rates, ["waers"])
 
 
+@query("join_validity_dates", "items", "budget_rates", sql="""
+    select k, currency, cast(doc_date as varchar) doc_date,
+           cast("currency_exchange_rate_to_USD_multiplier_factor" as double) budget_rate
+    from items left join budget_rates on currency_code = currency
+         and currency_exchange_rate_type_code = 1
+         and doc_date between effective_from_date and effective_to_date""")
+def join_validity_dates(f: Frames) -> DataFrame:
+    """The rate of each row's own date, where ``join_range_validity`` takes that of the run."""
+    items = f["items"].select("k", "currency", "doc_date")
+    span = items.agg(F.min("doc_date"), F.max("doc_date")).first()
+    rates = f["budget_rates"].where("currency_exchange_rate_type_code = 1").select(
+        col("currency_code").alias("currency"), "effective_from_date", "effective_to_date",
+        col("currency_exchange_rate_to_USD_multiplier_factor").alias("budget_rate"))
+    return validity_join(items, rates, ["currency"], "doc_date", "effective_from_date",
+                         "effective_to_date", *span, ids=["k"])
+
+
 @query("join_as_of", "items", "profit_center_fence", sql="""
     select k, centre, eff_date, ztedprc
     from items left join profit_center_fence on prctr = centre
