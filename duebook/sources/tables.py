@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from duebook.operators.fingerprints import repeated
 
@@ -31,6 +31,53 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns).sortWithinPartitions(*columns)
 
 
+SAMPLED = 4_096          # rows that the bounds of a layout are taken from
+
+
+def range_bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
+    """At most ``2 ** bits - 1`` values per column that cut its rows into ranges of like size.
+
+    From at most ``SAMPLED`` rows, one per bucket of a hash over the row, combined per task first.
+    """
+    parts = [F.col(c) for c in columns]
+    bucket = F.pmod(F.xxhash64(F.lit(1), *[F.col(c) for c in df.columns]), F.lit(SAMPLED))
+    chosen = df.groupBy(bucket.alias("__bucket")).agg(
+        F.min_by(F.struct(*parts), F.xxhash64(F.lit(2), *[F.col(c) for c in df.columns])).alias("r")).collect()
+    found = {}
+    for c in columns:
+        values = sorted(r.r[c] for r in chosen if r.r[c] is not None)
+        cuts = [values[len(values) * n // (1 << bits)] for n in range(1, 1 << bits)] if values else []
+        found[c] = sorted({*cuts})
+    return found
+
+
+def interleaved(bounds: dict[str, list], bits: int) -> Column:
+    """Position on a curve that keeps rows near which are near in every column; nulls come first."""
+    code = F.lit(0)
+    for place, (column, cuts) in enumerate(bounds.items()):
+        rank = F.lit(0)
+        for cut in cuts:
+            rank = rank + F.coalesce((F.col(column) >= F.lit(cut)).cast("int"), F.lit(0))
+        for bit in range(bits):
+            code = code + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1), bit * len(bounds)
+                                      + len(bounds) - 1 - place)
+    return code
+
+
+def clustered_on_curve(df: DataFrame, partition: str, columns: Sequence[str], bits: int = 4,
+                       files: int | None = None) -> DataFrame:
+    """Lay rows out for a write such that a filter on any of ``columns`` reads few files of a date.
+
+    Rows of a date are dealt into ranges of the interleaved position of their columns, whose bounds
+    come from the rows themselves.
+    """
+    curve = interleaved(range_bounds(df, columns, bits), bits).alias("__curve")
+    placed = df.withColumn("__curve", curve)
+    keys = [partition, "__curve"]
+    placed = placed.repartitionByRange(files, *keys) if files else placed.repartitionByRange(*keys)
+    return placed.sortWithinPartitions(*keys, *columns).drop("__curve")
+
+
 def create(df: DataFrame, table: str, partition: str) -> None:
     """Create an empty table with the columns of ``df``, if it is not there."""
     if not df.sparkSession.catalog.tableExists(table):

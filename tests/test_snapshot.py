@@ -261,3 +261,27 @@ def test_upsert_with_given_dates_refuses_repeated_keys_too(spark, db):
     batch = spark.sql("select 1 k, date'2001-01-01' d, 'a' v")
     with pytest.raises(ValueError, match="more than once"):
         tables.keyed_upsert(batch.union(batch), f"{db}.dated", ["k", "d"], "d", dates=[day("2001-01-01")])
+
+
+def test_a_curve_skips_files_for_either_column(spark, tmp_path):
+    """Files whose statistics admit a filter, against a layout by the first column alone."""
+    import pyarrow.parquet as pq
+    rows_ = spark.range(40_000).selectExpr("date'2001-01-01' d", "cast(id * 7919 % 97 as int) company",
+                                           "lpad(cast(id * 104729 % 9973 as string), 6, '0') account", "id")
+    rows_ = rows_.unionByName(spark.sql("select date'2001-01-01' d, cast(null as int) company, 'x' account, -1L id"))
+    tables.clustered_on_curve(rows_, "d", ["company", "account"], files=16).write.parquet(str(tmp_path / "curve"))
+    rows_.repartitionByRange(16, "d", "company").sortWithinPartitions("d", "company").write.parquet(
+        str(tmp_path / "plain"))
+
+    def admitted(layout, column, value):
+        files = [pq.ParquetFile(f).metadata for f in sorted((tmp_path / layout).glob("*.parquet"))]
+        at = [m.row_group(0).column(n) for m in files for n in range(m.num_columns)
+              if m.row_group(0).column(n).path_in_schema == column]
+        return sum(c.statistics.min <= value <= c.statistics.max for c in at), len(files)
+    for company in (3, 50, 90):
+        found, total = admitted("curve", "company", company)
+        assert total == 16 and found <= total / 2
+    for account in ("000100", "005000", "009000"):
+        found, total = admitted("curve", "account", account)
+        assert found <= 0.7 * total < admitted("plain", "account", account)[0]
+    assert rows(spark.read.parquet(str(tmp_path / "curve")).select("id")) == rows(rows_.select("id"))
