@@ -42,6 +42,8 @@ PLACEHOLDER_UNITS = ["LGL", "TMP", "CRP"]
 ITEM = [*DOCUMENT, "buzei"]
 REFERENCE = ["kidno", "vbel2", "posn2"]
 RULE_KEY = ["bukrs", "industry_business_code", "business_code"]
+# Ledger columns that the large tables are asked by.
+RESOLVED_BY = [*ITEM, "kunnr", "vbeln"]
 
 
 # --- small lookup tables, one row per key ----------------------------------------------
@@ -226,12 +228,17 @@ def with_document_lines(items: DataFrame, document_lines: DataFrame) -> DataFram
     return lookup_join(items, unique, key, spread=False).drop("item_no")
 
 
+def breakdown_parts(breakdown_lines: DataFrame, *key: Column | str) -> DataFrame:
+    """The breakdown under the columns of ``key``, unique on these and the breakdown item."""
+    rows = breakdown_lines.select(
+        *key, "auzei", F.col("dmbtr").alias("part_amount"), F.col("shkzg").alias("part_sign"),
+        F.col("prctr").alias("part_center"))
+    return top1(rows, rows.columns[:-3], [F.col(c) for c in ("part_center", "part_sign", "part_amount")])
+
+
 def with_breakdown(items: DataFrame, breakdown_lines: DataFrame,
                    hot: Hot | None = None) -> DataFrame:
-    parts = top1(breakdown_lines.select(
-        *ITEM, "auzei", F.col("dmbtr").alias("part_amount"), F.col("shkzg").alias("part_sign"),
-        F.col("prctr").alias("part_center")), [*ITEM, "auzei"],
-        [F.col("part_center"), F.col("part_sign"), F.col("part_amount")])
+    parts = breakdown_parts(breakdown_lines, *ITEM)
     grid = hot_grid(items, Hot(0, {}), hot) if hot else None
     return fan_out(items, parts, ITEM, grid, keep_unmatched=True)
 
@@ -243,10 +250,15 @@ def with_fence(items: DataFrame, fence: DataFrame, hot: Hot | None = None) -> Da
     return as_of_join(items, changes, ["profit_center_id"], "budat", "eff_date", hot=hot)
 
 
-def one_per_item(items: DataFrame) -> DataFrame:
-    """Of an item in both ledgers keep the newest fence date, then the cleared one."""
-    rest = F.xxhash64(*items.columns)
-    return top1(items, ["bukrs", "kunnr", "belnr", "gjahr", "buzei", "auzei"],
+def one_per_item(items: DataFrame, rest: Column | None = None,
+                 within: Sequence[str] = ()) -> DataFrame:
+    """Of an item in both ledgers keep the newest fence date, then the cleared one.
+
+    ``rest`` decides between rows that are alike in these, by default a hash of all columns.
+    ``within`` are columns that follow from the item and that the rows are dealt by already.
+    """
+    rest = F.xxhash64(*items.columns) if rest is None else rest
+    return top1(items, [*within, "bukrs", "kunnr", "belnr", "gjahr", "buzei", "auzei"],
                 [F.col("eff_date").desc_nulls_last(), F.col("item_status"), rest])
 
 
@@ -305,31 +317,62 @@ def company_table(t: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
     return facts.join(known, "bukrs", "full_outer")
 
 
-def with_lines_and_breakdown(items: DataFrame, document_lines: DataFrame, breakdown_lines: DataFrame,
-                             hot: Hot | None = None) -> DataFrame:
-    """Document line and breakdown of each item, both found in one shuffle on the item.
+def line_table(t: Mapping[str, DataFrame], hot: Mapping[str, Hot] = {}) -> DataFrame:
+    """Per document line its reference, and what the billing document referred to says.
 
-    The breakdown matches the item number as it stands, the line without leading zeros; the
-    former is a condition on top of the latter.  A hot item is cut into parts by ``fan_out``.
+    Lines have few columns, so they and not the ledger go to the billing documents.
     """
-    if hot:
-        return with_breakdown(with_document_lines(items, document_lines), breakdown_lines, hot)
-    number = strip_zeros(F.col("buzei"))
-    key = [*DOCUMENT, "item_no"]
-    lines = document_lines.select(*DOCUMENT, number.alias("item_no"), "kidno", "rebzg",
-                                  F.col("prctr").alias("line_center"))
-    lines = top1(lines, key, [F.col(c) for c in ("kidno", "rebzg", "line_center")])
-    parts = breakdown_lines.select(
-        *DOCUMENT, number.alias("item_no"), F.col("buzei").alias("part_item"), "auzei",
-        F.col("dmbtr").alias("part_amount"), F.col("shkzg").alias("part_sign"),
-        F.col("prctr").alias("part_center"))
-    parts = top1(parts, [*key, "part_item", "auzei"],
-                 [F.col("part_center"), F.col("part_sign"), F.col("part_amount")])
-    items = lookup_join(items.withColumn("item_no", number), lines, key, spread=False)
+    lines = t["document_lines"].select(
+        *DOCUMENT, strip_zeros(F.col("buzei")).alias("item_no"), "kidno", "rebzg",
+        F.col("prctr").alias("line_center"))
+    codes = business_codes(t["billing_lines"], t["materials"], t["products"], hot.get("material"))
+    billed = lookup_join(lines, billing_documents(t["billing_headers"], t["price_conditions"], codes),
+                         ["kidno"], hot=hot.get("reference"))
+    return top1(billed, [*DOCUMENT, "item_no"], [F.col(c) for c in ("kidno", "rebzg", "line_center")])
+
+
+def resolved_items(items: DataFrame, t: Mapping[str, DataFrame],
+                   hot: Mapping[str, Hot] = {}) -> DataFrame:
+    """All that the large tables know of an item, from the few ledger columns that lead to them.
+
+    One row per different ``RESOLVED_BY``.
+    """
+    ids = RESOLVED_BY
+    rows = items.select(*RESOLVED_BY).withColumn("item_no", strip_zeros(F.col("buzei")))
+    # the line is that of the item, so rows may be made unique on the shuffle of this join
+    rows = lookup_join(rows, line_table(t, hot), [*DOCUMENT, "item_no"], spread=False).distinct()
+    rows = lookup_join(rows.drop("item_no"), document_table(t, hot.get("line_reference")), DOCUMENT,
+                       hot=hot.get("document"), spread=False, ids=ids)
+    flow = flow_table(t["document_flow"], t["order_headers"], hot.get("order"))
+    rows = with_sold_to(with_flow(rows, flow, hot.get("billing"), ids))
+    rows = rows.withColumn("plain_account", strip_zeros_regex(F.col("kunnr")))
+    rows = lookup_join(rows, customer_facts(t["customers"]), ["plain_account", "bukrs"],
+                       hot=hot.get("plain_account"), ids=ids)
+    return with_customer(rows, account_table(t["customers_current"]), hot.get("account"), ids)
+
+
+def with_resolved(items: DataFrame, resolved: DataFrame, breakdown_lines: DataFrame,
+                  hot: Hot | None = None) -> DataFrame:
+    """Join the ledger to its ``resolved_items`` and its breakdown in one shuffle on ``__item``.
+
+    Null keys of the two sides compare as equal, as fields of a struct do: they are those of the
+    same rows.  An item that has a hot breakdown is cut into parts by ``fan_out``.
+    """
+    names = [c for c in RESOLVED_BY if c not in ITEM]
+
+    def keyed(df: DataFrame, by: str) -> DataFrame:
+        return df.select(F.struct(*ITEM).alias("__item"), F.struct(*names).alias(by),
+                         *[c for c in df.columns if c not in RESOLVED_BY])
     # as two bounds: an equality would become part of the key and cost a shuffle of its own
-    same = "buzei <= part_item and part_item <= buzei"
-    items = lookup_join(items, parts, key, within=same, spread=False)
-    return items.drop("item_no", "part_item")
+    same = "__by <= __of and __of <= __by"
+    joined = lookup_join(keyed(items, "__by"), keyed(resolved, "__of"), ["__item"], within=same, spread=False)
+    if not hot:
+        known = breakdown_lines.where(" and ".join(f"{c} is not null" for c in ITEM))
+        joined = lookup_join(joined, breakdown_parts(known, F.struct(*ITEM).alias("__item")), ["__item"],
+                             spread=False)
+    joined = joined.withColumns({**{c: F.col(f"__item.{c}") for c in ITEM},
+                                 **{c: F.col(f"__by.{c}") for c in names}}).drop("__by", "__of")
+    return with_breakdown(joined, breakdown_lines, hot) if hot else joined
 
 
 def with_center(items: DataFrame, centers: DataFrame, hot: Hot | None = None,
@@ -346,41 +389,29 @@ def invoice_base(tables: Mapping[str, DataFrame], as_of: dt.date,
                  hot: Mapping[str, Hot] = {}) -> DataFrame:
     """All enriched columns, the traceability ones among them.
 
-    Lookups are grouped by key: what several tables know of one key is put together before the
-    ledger is joined, so that the ledger is shuffled once per key, twelve times at most.  Items
-    are made unique in the shuffle of the document; the customer, whose many columns no other
-    step reads, comes last.
+    The large tables are asked by ``resolved_items``, a narrow frame of the keys of the ledger, so
+    that the wide ledger itself is shuffled once, to meet it, and then joined to small tables
+    only, with at most eight shuffles if none of them is broadcast.
     """
     t = require_tables(tables)
     ids = [*ITEM, "kunnr", "auzei"]
-    items = ledger_items(t["open_items"], t["cleared_items"])
-    items = with_lines_and_breakdown(items, t["document_lines"], t["breakdown_lines"],
-                                     hot.get("breakdown"))
+    ledger = ledger_items(t["open_items"], t["cleared_items"])
+    # The hash of a ledger row stands for all its columns where one row of an item is chosen: the
+    # columns that nobody reads need not come along.
+    items = with_resolved(ledger.withColumn("__row", F.xxhash64(*ledger.columns)),
+                          resolved_items(ledger, t, hot), t["breakdown_lines"], hot.get("breakdown"))
     items = items.withColumn("profit_center_id", F.coalesce("part_center", "line_center"))
     units = profit_center_units(t["profit_centers"], t["business_units"])
     items = with_center(items, center_table(t["profit_center_fence"], units), hot.get("center"), ids)
-    items = lookup_join(items, document_table(t, hot.get("line_reference")), DOCUMENT,
-                        hot=hot.get("document"), spread=False, ids=ids)
-    items = one_per_item(items)
-
-    codes = business_codes(t["billing_lines"], t["materials"], t["products"], hot.get("material"))
-    items = lookup_join(items, billing_documents(t["billing_headers"], t["price_conditions"],
-                                                 codes), ["kidno"], hot=hot.get("reference"), ids=ids)
-    flow = flow_table(t["document_flow"], t["order_headers"], hot.get("order"))
-    items = with_sold_to(with_flow(items, flow, hot.get("billing"), ids))
+    items = one_per_item(items, F.col("__row"), ["__item"]).drop("__item", "__row")
 
-    items = items.withColumns({
-        "plain_account": strip_zeros_regex(F.col("kunnr")),
-        "rate_day": rate_day(F.col("augdt"), F.col("budat"))})
-    items = lookup_join(items, customer_facts(t["customers"]), ["plain_account", "bukrs"],
-                        hot=hot.get("plain_account"), ids=ids)
+    items = items.withColumn("rate_day", rate_day(F.col("augdt"), F.col("budat")))
     items = lookup_join(items, company_table(t, as_of), ["bukrs"], hot=hot.get("company"), ids=ids)
     items = lookup_join(items, payment_terms(t["payment_terms"]), ["zterm"], hot=hot.get("terms"),
                         ids=ids)
     items = lookup_join(items, dated_rates(t["dated_rates"]), ["rate_day", "company_currency"], ids=ids)
-    items = with_final_unit(lookup_join(items, rule_table(t["profit_center_rules"], units), RULE_KEY,
-                                        ids=ids))
-    return with_customer(items, account_table(t["customers_current"]), hot.get("account"), ids)
+    return with_final_unit(lookup_join(items, rule_table(t["profit_center_rules"], units), RULE_KEY,
+                                       ids=ids))
 
 
 def with_final_unit(items: DataFrame) -> DataFrame:

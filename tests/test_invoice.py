@@ -42,6 +42,29 @@ def test_the_ledger_is_shuffled_twelve_times_at_most(sources, without_broadcast)
     assert 0 < len(exchanges(plan, "saknr")) <= 12
 
 
+def test_the_large_tables_meet_a_narrow_frame(sources, without_broadcast):
+    """The wide ledger is shuffled to meet it and for the small tables, and not for columns nobody reads."""
+    base = invoice.invoice_base(sources, AS_OF)
+    fact = invoice.invoice_columns(base, sources["security_tags"])._jdf.queryExecution().executedPlan()
+    assert 0 < len(exchanges(fact, "saknr")) <= 8
+    few = base.select(*invoice.ITEM, "auzei", "customer_key_id")._jdf.queryExecution().executedPlan()
+    assert not exchanges(few, "saknr") and not exchanges(few, "wrbtr")
+
+
+def test_items_without_a_key_meet_their_customers(sources):
+    """Null parts of an item's key find what the other columns lead to; the newest of its rows stays."""
+    one = sources["open_items"].where("kunnr is not null").orderBy("belnr").limit(1)
+    null = F.lit(None).cast("string")
+    odd = one.withColumns({"belnr": null, "buzei": null})
+    more = odd.withColumns({"budat": F.lit("19900101"), "vbeln": null})
+    tables = {**sources, "open_items": sources["open_items"].unionByName(odd).unionByName(more)}
+    base = invoice.invoice_base(tables, AS_OF).where("belnr is null").select(
+        "kunnr", "sold_to_customer_number", "plain_account", "customer_key_id").collect()
+    asked = one.first()
+    assert [(r.kunnr, r.plain_account) for r in base] == [(asked.kunnr, asked.kunnr.lstrip("0"))]
+    assert base[0].sold_to_customer_number
+
+
 def test_traceability_has_all_candidates(sources):
     base = invoice.invoice_base(sources, AS_OF)
     assert {"mapped_company_code", "payer", "first_customer", "direct_customer", "delivery_customer",
