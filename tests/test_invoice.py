@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from duebook.plans import delta, invoice
+from duebook.plans import delta, invoice, sku
 from tests.conftest import DATA
 from tests.helpers import rows
 from workload.frames import AS_OF, Frames
@@ -51,6 +51,21 @@ def test_the_large_tables_meet_a_narrow_frame(sources, without_broadcast):
     assert not exchanges(few, "saknr") and not exchanges(few, "wrbtr")
 
 
+def test_unmatched_items_are_dealt_by_their_key(sources, without_broadcast):
+    """Items without a billing line are spread by what tells them apart, not by columns nobody reads."""
+    fact = invoice.invoice_columns(invoice.invoice_base(sources, AS_OF), sources["security_tags"])
+    lines = sources["billing_lines"]
+    current = sources["materials"].selectExpr(
+        "matnr material_number", "'d' material_description", "1 source_system_id",
+        *[f"'x' product_structure_level_{n}_{kind}" for n in (3, 4, 5) for kind in ("code", "label")])
+    rows = sku.sku_fact(fact, lines, current, AS_OF, keep_unmatched=True, split_hot_keys=False).select(
+        "accounting_document_id", "material_actual_rate_functional_amount")
+    plan = rows._jdf.queryExecution().executedPlan()
+    assert exchanges(plan, "accounting_document_id")
+    for unread in ("saknr", "sgtxt"):
+        assert not exchanges(plan, unread)
+
+
 def test_items_without_a_key_meet_their_customers(sources):
     """Null parts of an item's key find what the other columns lead to; the newest of its rows stays."""
     one = sources["open_items"].where("kunnr is not null").orderBy("belnr").limit(1)
@@ -114,3 +129,12 @@ def test_documents_that_lose_their_items_leave_the_fact(spark, sources):
     found, documents = delta.delta_fact(now, {"open_items": lost}, before, AS_OF)
     assert found.count() == 0 and documents.count() == 1
     assert delta.merged_fact(before, found, documents).count() < before.count()
+
+
+def test_affected_documents_are_found_once(sources):
+    """The joins that reduce the sources read stored keys, not the paths that led to them."""
+    one = sources["open_items"].orderBy("belnr").limit(1)
+    fact = invoice.invoice_columns(invoice.invoice_base(sources, AS_OF), sources["security_tags"])
+    _, documents = delta.delta_fact(sources, {"open_items": one}, fact, AS_OF)
+    assert all("/documents/" in file for file in documents.inputFiles())
+    assert documents.count() == 1
