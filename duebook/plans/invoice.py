@@ -22,6 +22,7 @@ from duebook.operators.fanout import fan_out, hot_grid
 from duebook.operators.lookups import as_of_join, lookup_join, top1, valid_on
 from duebook.operators.skew import Hot, hot_keys
 from duebook.schemas import INVOICE_COLUMNS, require_columns
+from duebook.session import passing_steps, stored
 from duebook.sources.ledger import ledger_items
 
 from .sold_to import (DOCUMENT, account_table, first_customer_lines, flow_table, with_customer,
@@ -335,20 +336,26 @@ def resolved_items(items: DataFrame, t: Mapping[str, DataFrame],
                    hot: Mapping[str, Hot] = {}) -> DataFrame:
     """All that the large tables know of an item, from the few ledger columns that lead to them.
 
-    One row per different ``RESOLVED_BY``.
+    One row per different ``RESOLVED_BY``.  The lookup tables, and the rows before they meet the
+    wide customer hierarchy, are stored one after the other, so that the disk holds the shuffles
+    of one step and not of all.
     """
     ids = RESOLVED_BY
     rows = items.select(*RESOLVED_BY).withColumn("item_no", strip_zeros(F.col("buzei")))
-    # the line is that of the item, so rows may be made unique on the shuffle of this join
-    rows = lookup_join(rows, line_table(t, hot), [*DOCUMENT, "item_no"], spread=False).distinct()
-    rows = lookup_join(rows.drop("item_no"), document_table(t, hot.get("line_reference")), DOCUMENT,
-                       hot=hot.get("document"), spread=False, ids=ids)
-    flow = flow_table(t["document_flow"], t["order_headers"], hot.get("order"))
-    rows = with_sold_to(with_flow(rows, flow, hot.get("billing"), ids))
-    rows = rows.withColumn("plain_account", strip_zeros_regex(F.col("kunnr")))
-    rows = lookup_join(rows, customer_facts(t["customers"]), ["plain_account", "bukrs"],
-                       hot=hot.get("plain_account"), ids=ids)
-    return with_customer(rows, account_table(t["customers_current"]), hot.get("account"), ids)
+    with passing_steps(items.sparkSession) as kept:
+        lines, = stored(lines=line_table(t, hot))
+        about, = stored(about=document_table(t, hot.get("line_reference")))
+        flow, = stored(flow=flow_table(t["document_flow"], t["order_headers"], hot.get("order")))
+        # the line is that of the item, so rows may be made unique on the shuffle of this join
+        rows = lookup_join(rows, lines, [*DOCUMENT, "item_no"], spread=False).distinct()
+        rows = lookup_join(rows.drop("item_no"), about, DOCUMENT,
+                           hot=hot.get("document"), spread=False, ids=ids)
+        rows = with_sold_to(with_flow(rows, flow, hot.get("billing"), ids))
+        rows = rows.withColumn("plain_account", strip_zeros_regex(F.col("kunnr")))
+        rows = lookup_join(rows, customer_facts(t["customers"]), ["plain_account", "bukrs"],
+                           hot=hot.get("plain_account"), ids=ids)
+        rows, accounts = kept(resolved=rows, accounts=account_table(t["customers_current"]))
+    return with_customer(rows, accounts, hot.get("account"), ids)
 
 
 def with_resolved(items: DataFrame, resolved: DataFrame, breakdown_lines: DataFrame,
@@ -391,9 +398,11 @@ def invoice_base(tables: Mapping[str, DataFrame], as_of: dt.date,
 
     The large tables are asked by ``resolved_items``, a narrow frame of the keys of the ledger, so
     that the wide ledger itself is shuffled once, to meet it, and then joined to small tables
-    only, with at most eight shuffles if none of them is broadcast.
+    only, with at most eight shuffles if none of them is broadcast.  Starts the jobs that store
+    this frame and the small tables.
     """
     t = require_tables(tables)
+    small = stored_small(t, as_of)
     ids = [*ITEM, "kunnr", "auzei"]
     ledger = ledger_items(t["open_items"], t["cleared_items"])
     # The hash of a ledger row stands for all its columns where one row of an item is chosen: the
@@ -401,17 +410,27 @@ def invoice_base(tables: Mapping[str, DataFrame], as_of: dt.date,
     items = with_resolved(ledger.withColumn("__row", F.xxhash64(*ledger.columns)),
                           resolved_items(ledger, t, hot), t["breakdown_lines"], hot.get("breakdown"))
     items = items.withColumn("profit_center_id", F.coalesce("part_center", "line_center"))
-    units = profit_center_units(t["profit_centers"], t["business_units"])
-    items = with_center(items, center_table(t["profit_center_fence"], units), hot.get("center"), ids)
+    items = with_center(items, small["centers"], hot.get("center"), ids)
     items = one_per_item(items, F.col("__row"), ["__item"]).drop("__item", "__row")
 
     items = items.withColumn("rate_day", rate_day(F.col("augdt"), F.col("budat")))
-    items = lookup_join(items, company_table(t, as_of), ["bukrs"], hot=hot.get("company"), ids=ids)
-    items = lookup_join(items, payment_terms(t["payment_terms"]), ["zterm"], hot=hot.get("terms"),
-                        ids=ids)
-    items = lookup_join(items, dated_rates(t["dated_rates"]), ["rate_day", "company_currency"], ids=ids)
-    return with_final_unit(lookup_join(items, rule_table(t["profit_center_rules"], units), RULE_KEY,
-                                       ids=ids))
+    items = lookup_join(items, small["companies"], ["bukrs"], hot=hot.get("company"), ids=ids)
+    items = lookup_join(items, small["terms"], ["zterm"], hot=hot.get("terms"), ids=ids)
+    items = lookup_join(items, small["rates"], ["rate_day", "company_currency"], ids=ids)
+    return with_final_unit(lookup_join(items, small["rules"], RULE_KEY, ids=ids))
+
+
+def stored_small(t: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
+    """The tables that the wide ledger itself is joined to, stored, so that their size is known.
+
+    As plans they are estimated by what they are made from, and the ledger would be shuffled to
+    meet tables of a few rows.
+    """
+    units = profit_center_units(t["profit_centers"], t["business_units"])
+    plans = {"centers": center_table(t["profit_center_fence"], units), "companies": company_table(t, as_of),
+             "terms": payment_terms(t["payment_terms"]), "rates": dated_rates(t["dated_rates"]),
+             "rules": rule_table(t["profit_center_rules"], units)}
+    return dict(zip(plans, stored(**plans)))
 
 
 def with_final_unit(items: DataFrame) -> DataFrame:

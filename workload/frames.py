@@ -15,7 +15,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from duebook.session import shared_folder
+from duebook.session import released_shuffles, shared_folder
 
 AS_OF = dt.date(2001, 6, 30)
 
@@ -385,8 +385,9 @@ class Frames:
                 self._built[name] = self._read(*paths[name])
             frames = {n: self[n] for n in ready}
             root = shared_folder(self.spark)
-            with ThreadPoolExecutor(8) as pool:
-                list(pool.map(lambda n: frames[n].write.parquet(f"{root}/{n}"), ready))
+            with released_shuffles(self.spark), ThreadPoolExecutor(8) as pool:
+                plans = {n: frames[n].select("*") for n in ready}
+                list(pool.map(lambda n: plans[n].write.parquet(f"{root}/{n}"), ready))
             paths.update({n: (f"{root}/{n}", frames[n].schema) for n in ready})
             self._built.clear()
         for name in paths:
